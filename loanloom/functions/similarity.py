@@ -21,10 +21,11 @@ PREFIX_FLOOR = 0.7
 _MAX_CELLS = 1 << 21  # bounds the width x rows matrices of one step
 
 
-def _code_points(texts: list[str], width: int) -> np.ndarray:
-    codes = np.zeros((len(texts), width), dtype=np.int32)
-    for row, text in enumerate(texts):
-        codes[row, : len(text)] = np.frombuffer(text.encode("utf-32-le"), dtype=np.int32)
+def _code_points(texts: list[str], lengths: np.ndarray) -> np.ndarray:
+    """One row of code points per text, padded with zeros."""
+    inside = np.arange(lengths.max()) < lengths[:, None]
+    codes = np.zeros(inside.shape, dtype=np.int32)
+    codes[inside] = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.int32)
     return codes
 
 
@@ -33,8 +34,8 @@ def _jaro_winkler_block(left: list[str], right: list[str]) -> np.ndarray:
     n = len(left)
     len_a = np.fromiter(map(len, left), dtype=np.int64, count=n)
     len_b = np.fromiter(map(len, right), dtype=np.int64, count=n)
-    a = _code_points(left, int(len_a.max()))
-    b = _code_points(right, int(len_b.max()))
+    a = _code_points(left, len_a)
+    b = _code_points(right, len_b)
     reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)
     pos_b = np.arange(b.shape[1])
     free = pos_b[None, :] < len_b[:, None]
@@ -58,7 +59,7 @@ def _jaro_winkler_block(left: list[str], right: list[str]) -> np.ndarray:
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(common > 0, (common / len_a + common / len_b + (common - halves) / common) / 3.0, 0.0)
     span = min(PREFIX_LENGTH, a.shape[1], b.shape[1])
-    same = (a[:, :span] == b[:, :span]) & (a[:, :span] != 0)
+    same = (a[:, :span] == b[:, :span]) & (np.arange(span) < np.minimum(len_a, len_b)[:, None])
     prefix = np.cumprod(same, axis=1).sum(axis=1)
     return np.where(jaro > PREFIX_FLOOR, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
 

@@ -17,7 +17,7 @@ def strip(col: Column) -> Column:
 def normalize_phone(col: Column) -> Column:
     """E.164 form of a UAE phone number: digits with the country code in front."""
     digits = F.regexp_replace(col, r"[^\p{Nd}]", "")
-    national = F.regexp_replace(digits, "^0", "")
+    national = F.when(digits.startswith("0"), F.substr(digits, F.lit(2))).otherwise(digits)
     return F.when(digits.startswith(COUNTRY_CODE), F.concat(F.lit("+"), digits)).otherwise(
         F.concat(F.lit("+" + COUNTRY_CODE), national)
     )
@@ -30,3 +30,18 @@ def normalize_email(col: Column) -> Column:
 def piped(*cols: Column) -> Column:
     """Parts joined by a pipe; a missing part is an empty string."""
     return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+
+
+def name_uuid(*cols: Column) -> Column:
+    """A UUID-shaped id derived from the given parts.
+
+    Unlike ``uuid()`` it does not change when a lost task or a replayed
+    micro-batch computes the row again.
+    """
+    digest = F.sha2(piped(*cols), 256)
+    return F.regexp_replace(F.substring(digest, 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+
+
+def content_hash(raw: Column) -> Column:
+    """Hash of a payload exactly as received."""
+    return F.concat(F.lit("sha256:"), F.sha2(raw, 256))
