@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,18 +51,54 @@ def warn_duplicate_rate(df: DataFrame, key: str = "application_id") -> DataFrame
     )
 
 
-def score_frequencies(scores: DataFrame, score: str = "fraud_score", baseline: str = "is_baseline") -> DataFrame:
-    """How often each score occurs in either population (partial counts before the shuffle)."""
+def _inner_edges(cuts: Column) -> tuple[Column, Column]:
+    """Bin edges between the two open ends, and whether there is any bin at all.
+
+    Rounding hides last-digit noise of the interpolation, which would otherwise
+    move a score across an edge.
+    """
+    distinct = F.array_distinct(F.transform(cuts, lambda c: F.round(c.cast("double"), EDGE_DIGITS)))
+    inner = F.when(F.size(distinct) > 2, F.slice(distinct, F.lit(2), F.size(distinct) - 2))
+    return F.coalesce(inner, F.array().cast("array<double>")), F.coalesce(F.size(distinct) > 1, F.lit(False))
+
+
+def _bin_of(edges: Column, score: Column) -> Column:
+    """Bins are closed on the right: a score on an edge stays below it."""
+    return F.size(F.filter(edges, lambda edge: edge < score))
+
+
+def _exact_bins(known: DataFrame, quantiles: list[float]) -> DataFrame:
+    """Bin counts through the score frequencies.
+
+    One scan: rows are counted per score before the shuffle, and everything
+    after works on at most as many entries as the integer score has values.
+    """
+    frequencies = known.groupBy("score").agg(
+        F.count_if("is_baseline").alias("expected"), F.count_if(~F.col("is_baseline")).alias("actual")
+    )
+    whole = frequencies.agg(
+        F.percentile("score", F.array(*map(F.lit, quantiles)), F.col("expected")).alias("cuts"),
+        F.collect_list(F.struct("score", "expected", "actual")).alias("table"),
+    )
+    edges, has_bins = _inner_edges(F.col("cuts"))
     return (
-        scores.filter(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score"))
-        .agg(
-            F.count_if(F.col(baseline)).alias("expected"),
-            F.count_if(~F.col(baseline)).alias("actual"),
-        )
+        whole.select(edges.alias("edges"), has_bins.alias("has_bins"), F.explode("table").alias("f"))
+        .groupBy(_bin_of(F.col("edges"), F.col("f.score")).alias("bin"), "has_bins")
+        .agg(F.sum("f.expected").alias("expected"), F.sum("f.actual").alias("actual"))
     )
 
 
+def _approximate_bins(known: DataFrame, quantiles: list[float], accuracy: int) -> DataFrame:
+    """Bin counts with edges from a mergeable quantile sketch: two scans, nothing per value."""
+    cuts = known.filter("is_baseline").agg(F.percentile_approx("score", quantiles, accuracy).alias("cuts"))
+    edges, has_bins = _inner_edges(F.col("cuts"))
+    found = cuts.select(edges.alias("edges"), has_bins.alias("has_bins"))
+    return known.groupBy(
+        _bin_of(found.select("edges").scalar(), F.col("score")).alias("bin"),
+        found.select("has_bins").scalar().alias("has_bins"),
+    ).agg(F.count_if("is_baseline").alias("expected"), F.count_if(~F.col("is_baseline")).alias("actual"))
+
+
 def warn_fraud_score_drift_psi(
     scores: DataFrame,
     score: str = "fraud_score",
@@ -72,45 +108,28 @@ def warn_fraud_score_drift_psi(
 ) -> DataFrame:
     """Population Stability Index over baseline-quantile bins.
 
-    Scores are declared as integers, so their frequencies are a table of at most
-    the score range: quantiles and bins are taken from that table and the raw
-    rows are read once. For a fractional score of unbounded many values pass
-    ``approximate`` (the accuracy of ``percentile_approx``): its sketch is merged
-    map-side and the frequencies stay distributed.
+    Scores are declared as integers and get exact quantiles. A fractional score
+    can have unboundedly many values: for it pass ``approximate``, the accuracy
+    of ``percentile_approx``.
     """
-    fractional = isinstance(scores.schema[score].dataType, (T.FractionalType, T.DecimalType))
-    if fractional and approximate is None:
-        raise ValueError("exact quantiles need an integer score; pass approximate=<accuracy> for fractional scores")
-    table = score_frequencies(scores, score, baseline)
-    quantiles = [i / bins for i in range(bins + 1)]
-    if approximate is None:
-        cuts = table.agg(
-            F.percentile("score", F.array(*map(F.lit, quantiles)), F.col("expected")).alias("cuts")
-        )
-    else:
-        known = scores.filter(F.col(score).isNotNull() & F.col(baseline))
-        cuts = known.agg(F.percentile_approx(score, quantiles, approximate).alias("cuts"))
-    # Inner edges only: the two ends are open. Rounding hides last-digit noise of
-    # the interpolation, which would otherwise move a score across an edge.
-    distinct = F.array_distinct(F.transform("cuts", lambda c: F.round(c, EDGE_DIGITS)))
-    edges = cuts.select(F.when(F.size(distinct) > 2, F.slice(distinct, 2, F.size(distinct) - 2))
-                        .otherwise(F.array().cast("array<double>")).alias("edges"),
-                        (F.size(distinct) > 1).alias("has_bins"))
-    edge_array = edges.select("edges").scalar()
-    binned = (
-        table.withColumn("bin", F.size(F.filter(edge_array, lambda e: e < F.col("score"))))
-        .groupBy("bin")
-        .agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
-        .filter(F.col("expected") > 0)
-    )
-    totals = table.agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
-    share = lambda side: F.greatest(
-        F.coalesce(F.try_divide(F.col(side), totals.select(side).scalar()), F.lit(0.0)), F.lit(SHARE_FLOOR)
+    if approximate is None and not isinstance(scores.schema[score].dataType, T.IntegralType):
+        raise ValueError("exact quantiles need an integer score; pass approximate=<accuracy> otherwise")
+    known = scores.filter(F.col(score).isNotNull()).select(
+        F.col(score).alias("score"), F.col(baseline).alias("is_baseline")
     )
-    parts = binned.select(share("expected").alias("e"), share("actual").alias("a"))
-    psi = parts.agg(F.coalesce(F.sum((F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e"))), F.lit(0.0)).alias("psi"))
-    value = F.when(edges.select("has_bins").scalar(), F.col("psi")).otherwise(0.0)
-    return _result(psi, "fraud_score_drift_psi", value, DRIFT_THRESHOLDS, True, 4)
+    quantiles = [i / bins for i in range(bins + 1)]
+    binned = _exact_bins(known, quantiles) if approximate is None else _approximate_bins(known, quantiles, approximate)
+
+    over_bins = Window.partitionBy()  # at most ``bins`` rows
+
+    def share(side: str) -> Column:
+        part = F.try_divide(F.col(side), F.sum(side).over(over_bins))
+        return F.greatest(F.coalesce(part, F.lit(0.0)), F.lit(SHARE_FLOOR))
+
+    parts = binned.select("has_bins", share("expected").alias("e"), share("actual").alias("a"))
+    term = (F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e"))
+    psi = parts.agg(F.coalesce(F.sum(F.when(F.col("has_bins"), term)), F.lit(0.0)).alias("psi"))
+    return _result(psi, "fraud_score_drift_psi", F.col("psi"), DRIFT_THRESHOLDS, True, 4)
 
 
 def hours_between(start: Column, end: Column) -> Column:
