@@ -45,6 +45,20 @@ def months_on_book(creation_date: Column, snapshot_date: Column) -> Column:
     return F.floor(F.months_between(snapshot_date, creation_date)).cast("int")
 
 
+def exact_round(value: Column, digits: int) -> Column:
+    """Round a computed double half up, as its decimal value would be.
+
+    Eight decimals are taken first: they drop the binary noise of the
+    computation, which would otherwise decide a tie.
+    """
+    return value.cast("decimal(30,8)").cast(f"decimal({22 + digits},{digits})")
+
+
+def money(value: Column) -> Column:
+    """A computed amount in cents."""
+    return exact_round(value, 2).cast("decimal(18,2)")
+
+
 def discount_factor(rate: Column, period: Column) -> Column:
     return F.pow(F.lit(1.0) + rate.cast("double"), -period.cast("double"))
 

@@ -115,7 +115,8 @@ def assemble_application_request(bureau: DataFrame, fraud: DataFrame, aml: DataF
     )
     rows = joined.unionByName(unkeyed)
 
-    answered = {s: F.coalesce(f"has_{s}", F.lit(False)) for s in SOURCES}
+    # A row without an application id cannot be told to answer any application.
+    answered = {s: F.coalesce(f"has_{s}", F.lit(False)) & F.col(KEY).isNotNull() for s in SOURCES}
     return conform(
         rows.withColumns(
             {

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.functions.credit import discount_factor
+from loanloom.functions.credit import discount_factor, money
 from loanloom.functions.text import name_uuid
 from loanloom.schemas import conform
 from loanloom.sizing import small_side
@@ -262,6 +262,8 @@ def write_lifetime_detail(shortfalls: DataFrame, reporting_date: str) -> DataFra
                 "period_detail_id": name_uuid(calculation, F.col("period_number")),
                 "marginal_pd_this_period": F.col("marginal_pd"),
                 "lgd_this_period": F.col("lgd_used"),
+                "undiscounted_shortfall": money(F.col("undiscounted_shortfall")),
+                "discounted_shortfall": money(F.col("discounted_shortfall")),
                 "batch_date": F.lit(reporting_date).cast("date"),
             }
         ),
@@ -285,8 +287,8 @@ def write_ecl_calculation(scenarios: DataFrame, overlays: DataFrame, reporting_d
         return F.max(F.when(~weighted, F.col(name))).alias(name)
 
     rows = twice.groupBy(*_LOAN, F.when(~weighted, F.col("scenario_id")).alias("scenario_id"), "is_weighted").agg(
-        F.sum(F.col("gross_ecl") * factor).alias("gross_ecl_undiscounted"),
-        F.sum(F.col("scenario_ecl") * factor).alias("ecl_present_value"),
+        money(F.sum(F.col("gross_ecl") * factor)).alias("gross_ecl_undiscounted"),
+        money(F.sum(F.col("scenario_ecl") * factor)).alias("ecl_present_value"),
         *[of_scenario(c) for c in ("pd_used", "lgd_used", "ead_used", *ids)],
     )
     overlay_columns = ("management_overlay_amount", "overlay_justification", "overlay_approved_by")
