@@ -109,7 +109,12 @@ def score_aml(bronze: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def conform_aml(bronze: DataFrame, profile: DataFrame, as_of: str) -> DataFrame:
-    scored = score_aml(bronze, profile).withColumns(
+    return conform_scored_aml(score_aml(bronze, profile), as_of)
+
+
+def conform_scored_aml(scored: DataFrame, as_of: str) -> DataFrame:
+    """Conformed rows of callbacks that were scored before."""
+    scored = scored.withColumns(
         {
             "match_score": aml_match_score(F.col("raw_score")),
             "match_decision": aml_match_decision(F.col("raw_score")),

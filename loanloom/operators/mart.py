@@ -9,6 +9,7 @@ from loanloom.functions.credit import (
     bucket_rank,
     days_ago,
     delinquency_bucket,
+    exact_round,
     last_month_end,
     month_start,
     months_ago,
@@ -52,7 +53,8 @@ def share_pct(count: str, within: list[str], digits: int = 2) -> Column:
 
     Runs over already aggregated rows, so the window is as small as the result.
     """
-    return F.round(100.0 * F.col(count) / F.sum(count).over(Window.partitionBy(*within)), digits)
+    share = 100.0 * F.col(count) / F.sum(count).over(Window.partitionBy(*within))
+    return exact_round(share, digits).cast("double")
 
 
 def approval_rate_by_product_month(applications: DataFrame, as_of: str) -> DataFrame:
@@ -123,7 +125,7 @@ def volume_vs_capacity(applications: DataFrame, as_of: str, capacity: int = LAUN
         .withColumns(
             {
                 "launch_capacity_target": F.lit(capacity),
-                "pct_of_launch_capacity": F.round(100.0 * F.col("decisions_made") / capacity, 1),
+                "pct_of_launch_capacity": exact_round(100.0 * F.col("decisions_made") / capacity, 1).cast("double"),
             }
         )
     )

@@ -79,9 +79,11 @@ def staged_parameters(
     point = kind.isin("LGD", "EAD") & F.col("period_number").isNull()
     period_ead = (kind == "EAD") & F.col("period_number").isNotNull()
     used = point | ((stage == 1) & twelve_month_pd) | ((stage == 2) & (lifetime_pd | period_ead))
+    # A hash table of loans per partition: no sort of the parameters, and their
+    # (much larger) side is never the one that is broadcast or built.
     return (
         parameters.filter(point | twelve_month_pd | lifetime_pd | period_ead)
-        .join(loan_side, "loan_id", "inner")
+        .join(loan_side.hint("shuffle_hash"), "loan_id", "inner")
         .filter(used)
         .join(small_side(weights), "scenario_id", "inner")
     )

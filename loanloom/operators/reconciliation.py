@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.functions.credit import divergence_flag, pct_divergence
+from loanloom.functions.credit import divergence_flag, exact_round, pct_divergence
 from loanloom.operators.staging import baseline_scenarios
 from loanloom.sizing import small_side
 
@@ -29,7 +29,8 @@ def pit_ttc_join(pit: DataFrame, ttc: DataFrame, scenarios: DataFrame, reporting
     condition = F.col("period_number").eqNullSafe(F.col("t_period_number"))
     for key in _KEYS:
         condition = condition & (F.col(key) == F.col(f"t_{key}"))
-    return point.join(cycle, condition, "inner").select(*_KEYS, "period_number", "pit_value", "ttc_value")
+    # Both sides grow with loans times periods: a sort-merge join, which can spill.
+    return point.join(cycle.hint("merge"), condition, "inner").select(*_KEYS, "period_number", "pit_value", "ttc_value")
 
 
 def pit_vs_ttc(pit: DataFrame, ttc: DataFrame, scenarios: DataFrame, reporting_date: str) -> DataFrame:
@@ -41,7 +42,7 @@ def pit_vs_ttc(pit: DataFrame, ttc: DataFrame, scenarios: DataFrame, reporting_d
         "pit_value",
         "ttc_value",
         (F.col("pit_value") - F.col("ttc_value")).alias("absolute_divergence"),
-        F.round(pct, 2).alias("pct_divergence"),
+        exact_round(pct, 2).cast("double").alias("pct_divergence"),
         divergence_flag(pct).alias("divergence_flag"),
     )
 

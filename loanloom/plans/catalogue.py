@@ -30,6 +30,7 @@ from loanloom.operators import (
     warnings,
 )
 from loanloom.session import scratch_path, tune
+from loanloom.sizing import small_side
 from loanloom.sources import dimensions, landing, layers
 from loanloom.sources.sample_views import AS_OF, table, view
 from loanloom.streaming import landing_streams, serving
@@ -293,7 +294,7 @@ def dim_source(v):
 @query
 def dim_customer(v):
     nation = v.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("emirate"))
-    raw = v.table("customer").join(F.broadcast(nation), "c_nationkey").select(
+    raw = v.table("customer").join(small_side(nation), "c_nationkey").select(
         F.concat(F.lit("U"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("internal_uuid"),
         F.col("c_mktsegment").alias("customer_segment"),
         "emirate",
@@ -603,7 +604,7 @@ def pit_ttc_join(v):
 
 @query
 def scenario_scalar(v):
-    baseline = F.broadcast(staging.baseline_scenarios(v.macro_scenario, AS_OF).select("scenario_id"))
+    baseline = small_side(staging.baseline_scenarios(v.macro_scenario, AS_OF).select("scenario_id"))
     return v.pit.join(baseline, "scenario_id", "left_semi").groupBy("scenario_id", "parameter_type").agg(
         F.count(F.lit(1)).alias("parameter_count")
     )

@@ -321,12 +321,12 @@ _TRANSITION = """CASE WHEN previous_stage IS NULL THEN 'NEW_ORIGINATION' WHEN cu
 _PCT_OF_MONTH = f"""
     SELECT product_type, {_day("date_trunc('month', decision_date)")} AS decision_month, decision_outcome,
            count(*) AS decision_count,
-           round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY product_type, date_trunc('month', decision_date)), 2) AS pct_of_month
+           {_r("100e0 * count(*) / sum(count(*)) OVER (PARTITION BY product_type, date_trunc('month', decision_date))", 2)} AS pct_of_month
     FROM o_facts WHERE {_LAST_SIX_DATES} GROUP BY product_type, date_trunc('month', decision_date), decision_outcome"""
 
-_DELINQUENCY = """
+_DELINQUENCY = f"""
     SELECT product_type, delinquency_bucket, count(*) AS loan_count,
-           round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY product_type), 2) AS pct_of_product
+           {_r('100e0 * count(*) / sum(count(*)) OVER (PARTITION BY product_type)', 2)} AS pct_of_product
     FROM o_month_end WHERE status = 'ACTIVE' GROUP BY product_type, delinquency_bucket"""
 
 _EVALUATED = (
@@ -507,7 +507,7 @@ CHECKS: dict[str, str] = {
         FROM o_month_end lp JOIN o_facts f ON f.application_id = lp.application_id
         GROUP BY date_trunc('month', lp.decision_date), lp.months_on_book, lp.delinquency_bucket""",
     "volume_vs_capacity": f"""SELECT {_day('decision_date')} AS decision_date, count(*) AS decisions_made, 10000 AS launch_capacity_target,
-        round(100.0 * count(*) / 10000, 1) AS pct_of_launch_capacity FROM o_facts WHERE decision_date >= {D} - 30 GROUP BY decision_date""",
+        {_r('100e0 * count(*) / 10000', 1)} AS pct_of_launch_capacity FROM o_facts WHERE decision_date >= {D} - 30 GROUP BY decision_date""",
     "dq_trend": f"""SELECT source_system, {_day('batch_date')} AS batch_date, {_r('avg(score)', 4)} AS avg_dq_score FROM scorecard_rows
         WHERE batch_date >= DATE '{DQ_AS_OF}' - 30 GROUP BY source_system, batch_date""",
     "dq_scorecard_summary": f"""SELECT source_system, {_day('batch_date')} AS batch_date,
@@ -608,7 +608,7 @@ CHECKS: dict[str, str] = {
           CASE WHEN sicr_backstop_rebutted AND rebuttal_reason IS NULL THEN 'rebuttal_without_reason' END) AS violations
         FROM o_history) x WHERE violations <> ''""",
     "pit_vs_ttc": f"""SELECT loan_id, {_day('reporting_date')} AS reporting_date, parameter_type, horizon_type, 'BASELINE' AS pit_scenario,
-        pit_value, ttc_value, {_r('absolute_divergence', 4)} AS absolute_divergence, round(pct, 2) AS pct_divergence, divergence_flag
+        pit_value, ttc_value, {_r('absolute_divergence', 4)} AS absolute_divergence, {_r('pct', 2)} AS pct_divergence, divergence_flag
         FROM o_flagged""",
     "undefined_divergence": """SELECT parameter_type, count(*) FILTER (WHERE ttc_value = 0) AS undefined_count,
         count(*) AS parameter_count FROM o_pairs GROUP BY parameter_type""",

@@ -2,40 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.operators.assemble import assemble_application_request
-from loanloom.operators.conform import conform_aml, conform_bureau, conform_fraud, parse_aml, parse_bureau, parse_fraud
+from loanloom.operators.conform import (
+    conform_bureau,
+    conform_fraud,
+    conform_scored_aml,
+    parse_bureau,
+    parse_fraud,
+    score_aml,
+)
 from loanloom.operators.identity import audit_aecb, audit_aml, audit_fraud, join_profile, union_match_audit
 from loanloom.sources.landing import parse_profile, profile_current
 from loanloom.sources.layers import incremental_slice, read_table, write_partitioned
 
-_VENDORS = {
-    "aecb": (conform_bureau, parse_bureau, audit_aecb),
-    "fraud": (conform_fraud, parse_fraud, audit_fraud),
-    "aml": (conform_aml, parse_aml, audit_aml),
-}
+VENDORS = ("aecb", "fraud", "aml")
 
 
-def run_silver(spark: SparkSession, root: str, as_of: str) -> None:
-    """Conform the newly landed rows, audit them, and assemble the day's applications.
+def newly_landed(spark: SparkSession, root: str, source: str, as_of: str) -> DataFrame:
+    """Bronze rows that no run before ``as_of`` has conformed.
 
-    A rerun of the same day first leaves out what that day's run conformed, so
-    its partitions are replaced as a whole: the slice is computed against the
-    runs before ``as_of`` only.
+    What the run of ``as_of`` itself wrote does not count, so a rerun of the day
+    computes, and replaces, the same partition.
     """
-    before = F.col("batch_date") < F.lit(as_of).cast("date")
+    done = read_table(spark, root, f"silver.{source}_conformed").filter(
+        F.col("batch_date") < F.lit(as_of).cast("date")
+    )
+    return incremental_slice(read_table(spark, root, f"bronze.{source}"), as_of, done)
+
+
+def run_silver(spark: SparkSession, root: str, as_of: str) -> None:
+    """Conform the newly landed rows, audit them, and assemble the day's applications."""
     profile = parse_profile(profile_current(read_table(spark, root, "bronze.internal_profile")))
-    audits = []
-    for source, (conform_vendor, parse, audit) in _VENDORS.items():
-        table = f"silver.{source}_conformed"
-        done = read_table(spark, root, table).filter(before)
-        landed = incremental_slice(read_table(spark, root, f"bronze.{source}"), as_of, done)
-        write_partitioned(conform_vendor(landed, profile, as_of), root, table, mode="replay")
-        audits.append(audit(join_profile(parse(landed), profile), as_of))
-    write_partitioned(union_match_audit(*audits), root, "silver.match_audit", mode="replay")
-
-    sides = [read_table(spark, root, f"silver.{source}_conformed") for source in _VENDORS]
+    landed = {source: newly_landed(spark, root, source, as_of) for source in VENDORS}
+    # Name matching is the one costly step: its result serves two tables.
+    scored = score_aml(landed["aml"], profile).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        conformed = {
+            "aecb": conform_bureau(landed["aecb"], profile, as_of),
+            "fraud": conform_fraud(landed["fraud"], profile, as_of),
+            "aml": conform_scored_aml(scored, as_of),
+        }
+        for source, rows in conformed.items():
+            write_partitioned(rows, root, f"silver.{source}_conformed", mode="replay")
+        audit = union_match_audit(
+            audit_aecb(join_profile(parse_bureau(landed["aecb"]), profile), as_of),
+            audit_fraud(join_profile(parse_fraud(landed["fraud"]), profile), as_of),
+            audit_aml(scored, as_of),
+        )
+        write_partitioned(audit, root, "silver.match_audit", mode="replay")
+    finally:
+        scored.unpersist()
+
+    sides = [read_table(spark, root, f"silver.{source}_conformed") for source in VENDORS]
     request = assemble_application_request(*sides, as_of)
     write_partitioned(request, root, "silver.lending_application_request", mode="replay")

@@ -69,7 +69,7 @@ TABLES: dict[str, str] = {
     ),
     "gold.dq_scorecard": (
         "source_system STRING, batch_date DATE, rule_name STRING, rule_tier STRING, pass_rate DECIMAL(5,4), "
-        "records_evaluated INT, records_failed INT, score INT, evaluated_at TIMESTAMP"
+        "records_evaluated BIGINT, records_failed BIGINT, score INT, evaluated_at TIMESTAMP"
     ),
     "mart.dim_customer": (
         "internal_uuid STRING, customer_segment STRING, emirate STRING, onboarded_date DATE, is_active BOOLEAN"

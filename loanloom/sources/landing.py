@@ -27,7 +27,6 @@ IDEMPOTENCY = {
 }
 
 _REPORT_HEAD = "_reportId STRING, _generatedAt STRING, Subject STRUCT<EmiratesId: STRING>"
-_REPORT_PATTERN = r"(?s)<Report[\s>].*?</Report>"
 
 _FRAUD_MESSAGE = "application_id STRING, internal_uuid STRING, captured_at STRING"
 _FRAUD_HEAD = "request_id STRING, scored_at STRING"
@@ -64,12 +63,12 @@ def bronze_envelope(df: DataFrame, source: str) -> DataFrame:
 # --- bureau: XML files ------------------------------------------------------
 
 
-def explode_bureau_batch(files: DataFrame) -> DataFrame:
+def explode_bureau_batch(files: DataFrame, tag: str = "Report") -> DataFrame:
     """One row per report of a landed file; ``value`` is the report's exact text.
 
     A file with one report (or none that can be told apart) stays whole.
     """
-    reports = F.regexp_extract_all("value", F.lit(_REPORT_PATTERN), F.lit(0))
+    reports = F.regexp_extract_all("value", F.lit(rf"(?s)<{tag}[\s>].*?</{tag}>"), F.lit(0))
     parts = F.when(F.size(reports) > 1, reports).otherwise(F.array("value"))
     others = [c for c in files.columns if c != "value"]
     return files.select(*others, F.posexplode(parts).alias("report_position", "value"))
@@ -95,14 +94,26 @@ def ingest_bureau_xml(reports: DataFrame, received_at: Column | None = None) ->
     )
 
 
-def correlate_requests(reports: DataFrame, request_log: DataFrame) -> DataFrame:
+def _asked(side: DataFrame, records: DataFrame, key: str, few: bool) -> DataFrame:
+    """The part of a lookup table that ``records`` can ask for.
+
+    ``few`` says that the caller counted the records and found them broadcastable:
+    a micro-batch then filters the large table in place instead of shuffling it.
+    """
+    if not few:
+        return side
+    return side.join(F.broadcast(records.select(key).distinct()), key, "left_semi")
+
+
+def correlate_requests(reports: DataFrame, request_log: DataFrame, few: bool = False) -> DataFrame:
     """Attach the application a report answers; the bureau does not echo our id.
 
     The latest request of an Emirates ID counts. Unmatched reports stay, with a
     NULL ``application_id``.
     """
+    log = request_log.select("emirates_id", "application_id", "internal_uuid", "requested_at")
     latest = latest_per_key(
-        request_log.select("emirates_id", "application_id", "internal_uuid", "requested_at"),
+        _asked(log, reports, "emirates_id", few),
         ["emirates_id"],
         ["requested_at", "application_id"],
     ).drop("requested_at")
@@ -147,9 +158,10 @@ def ingest_aml_callbacks(callbacks: DataFrame, received_at: Column | None = None
     )
 
 
-def correlate_context(callbacks: DataFrame, context: DataFrame) -> DataFrame:
+def correlate_context(callbacks: DataFrame, context: DataFrame, few: bool = False) -> DataFrame:
     """Attach the customer of the echoed application id (NULL if unknown)."""
-    side = context.groupBy("application_id").agg(F.max("internal_uuid").alias("internal_uuid"))
+    known = _asked(context.select("application_id", "internal_uuid"), callbacks, "application_id", few)
+    side = known.groupBy("application_id").agg(F.max("internal_uuid").alias("internal_uuid"))
     return lookup(callbacks, side, "application_id", ["raw_payload"])
 
 

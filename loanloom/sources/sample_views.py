@@ -19,6 +19,18 @@ BASE_TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Declared types of the tables the views read, so that no footer is opened to
+# find them out.
+BASE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+        "o_orderpriority STRING"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 _UUID = "'U' || lpad(CAST({key} AS STRING), 12, '0')"
 _PHONE_DIGITS = "lpad(CAST({key} AS STRING), 8, '0')"
 
@@ -398,14 +410,31 @@ def duckdb_sql(body: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# Views that make dozens of rows out of one input row.
+WIDENING = {"pit", "ttc"}
+
+
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Give an input that sits in too few files one partition per core.
+
+    A test table is a single row group, which one task would widen alone. Input
+    that already comes in many partitions is left as it is.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A lending-shaped view as a DataFrame."""
     names = _needed((name,))
     text = " ".join(VIEWS[n] for n in names)
-    bases = [t for t in BASE_TABLES if t in _words(text)]
-    ctes = [f"{t} AS (SELECT * FROM parquet.`{sf_dir.rstrip('/')}/{t}.parquet`)" for t in bases]
+    bases = {t: table(spark, sf_dir, t) for t in BASE_TABLES if t in _words(text)}
+    if WIDENING & set(names):
+        bases = {t: _spread(spark, df) for t, df in bases.items()}
+    ctes = [f"{t} AS (SELECT * FROM {{{t}_input}})" for t in bases]
     ctes += [f"{n} AS ({_EXPLODE.sub(r'explode(array(\1))', VIEWS[n])})" for n in names]
-    return spark.sql("WITH " + ",\n".join(ctes) + f"\nSELECT * FROM {name}")
+    inputs = {f"{t}_input": df for t, df in bases.items()}
+    return spark.sql("WITH " + ",\n".join(ctes) + f"\nSELECT * FROM {name}", **inputs)

@@ -38,6 +38,7 @@ TABLE_OF = {
     "aml": "bronze.aml",
     "internal": "bronze.internal_profile",
 }
+FEW_RECORDS = 200_000  # a micro-batch up to this size has its keys broadcast
 CDC_EVENT = "source_event_id STRING, internal_uuid STRING, source_generated_at TIMESTAMP, raw_payload STRING"
 
 
@@ -60,22 +61,32 @@ def message_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parse_batch(batch: DataFrame, source: str, lookup_side: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Envelope input and exceptions of a batch of raw payloads.
-
-    ``lookup_side`` is the request log (bureau) or application context (AML).
-    """
+def parse_payloads(batch: DataFrame, source: str) -> DataFrame:
+    """Envelope input out of a batch of raw payloads, not yet attributed."""
     arrived = F.col("arrived_at")
     if source == "aecb":
-        parsed = ingest_bureau_xml(explode_bureau_batch(batch), arrived)
-        return split_unmatched(correlate_requests(parsed, lookup_side), "UNMATCHED", "emirates_id")
+        return ingest_bureau_xml(explode_bureau_batch(batch), arrived)
     if source == "aml":
-        parsed = ingest_aml_callbacks(batch, arrived)
-        return split_unmatched(correlate_context(parsed, lookup_side), "CONTEXT_NOT_FOUND", "application_id")
+        return ingest_aml_callbacks(batch, arrived)
     if source == "fraud":
-        return ingest_fraud_messages(batch, arrived), None
+        return ingest_fraud_messages(batch, arrived)
     changes = batch.select(F.from_json("value", CDC_EVENT).alias("e"), arrived.alias("received_at"))
-    return ingest_profile_cdc(changes.select("e.*", "received_at")), None
+    return ingest_profile_cdc(changes.select("e.*", "received_at"))
+
+
+def attribute(
+    parsed: DataFrame, source: str, lookup_side: DataFrame | None, few: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """Records with their application and customer, and the exceptions.
+
+    ``lookup_side`` is the request log (bureau) or application context (AML);
+    the other two sources bring both ids along.
+    """
+    if source == "aecb":
+        return split_unmatched(correlate_requests(parsed, lookup_side, few), "UNMATCHED", "emirates_id")
+    if source == "aml":
+        return split_unmatched(correlate_context(parsed, lookup_side, few), "CONTEXT_NOT_FOUND", "application_id")
+    return parsed, None
 
 
 def land(spark: SparkSession, root: str, envelope: DataFrame, source: str) -> None:
@@ -113,6 +124,7 @@ def land_exceptions(spark: SparkSession, root: str, exceptions: DataFrame, sourc
     table = "bronze.ingest_exceptions"
     if has_table(spark, root, table):
         held = spark.read.schema(rows.schema).parquet(table_path(root, table))
+        held = held.filter(F.col("source_system") == source)
         same = [rows[c].eqNullSafe(held[c]) for c in rows.columns]
         rows = rows.join(held, same, "left_anti")
     rows.write.mode("append").partitionBy("source_system", "ingest_date").parquet(table_path(root, table))
@@ -135,14 +147,15 @@ def stream_bronze(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         side = lookup_side(spark) if lookup_side else None
-        batch.persist()
+        parsed = parse_payloads(batch, source).persist()
         try:
-            records, exceptions = parse_batch(batch, source, side)
+            few = side is not None and parsed.count() <= FEW_RECORDS
+            records, exceptions = attribute(parsed, source, side, few)
             land(spark, root, conform(bronze_envelope(records, source), TABLE_OF[source]), source)
             if exceptions is not None:
                 land_exceptions(spark, root, exceptions, source)
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return (
         stream.writeStream.foreachBatch(on_batch)
