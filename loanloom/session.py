@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -44,15 +45,17 @@ def local_session(app: str, cores: int = 8, shuffle_partitions: int | None = Non
     return tune(spark)
 
 
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="loanloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names storage every executor can reach, so tables
-    written below it survive a lost executor. Only where the cluster names none
-    (local tests) is a temporary folder made.
+    written below it survive a lost executor. Only where it is unset (a bare
+    local session) a temporary folder is made instead.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="loanloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    return f"{root.rstrip('/')}/loanloom/{label}-{uuid.uuid4().hex}"

@@ -435,6 +435,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if WIDENING & set(names):
         bases = {t: _spread(spark, df) for t, df in bases.items()}
     ctes = [f"{t} AS (SELECT * FROM {{{t}_input}})" for t in bases]
-    ctes += [f"{n} AS ({_EXPLODE.sub(r'explode(array(\1))', VIEWS[n])})" for n in names]
+    for n in names:
+        sql = _EXPLODE.sub(r"explode(array(\1))", VIEWS[n])
+        ctes.append(f"{n} AS ({sql.replace('{', '{{').replace('}', '}}')})")  # braces of JSON texts
     inputs = {f"{t}_input": df for t, df in bases.items()}
     return spark.sql("WITH " + ",\n".join(ctes) + f"\nSELECT * FROM {name}", **inputs)

@@ -13,9 +13,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session("loanloom-tests", cores=8, shuffle_partitions=4)
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 
