@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.operators.keys import HOT_ROWS
 from loanloom.schemas import conform
 
 KEY = "application_id"
@@ -37,8 +38,9 @@ CONTRIBUTIONS = {
     },
 }
 SOURCES = tuple(CONTRIBUTIONS)
-_BITS = {source: 1 << i for i, source in enumerate(SOURCES)}
-_TODAY = 1 << len(SOURCES)
+# One slot column per vendor; a hot application is spread over their values.
+SLOTS = {source: f"slot_{source}" for source in SOURCES}
+_KEYS = [KEY, *SLOTS.values()]
 
 
 def pending_sources(answered: dict[str, Column]) -> Column:
@@ -52,16 +54,17 @@ def _contribution(conformed: DataFrame, source: str) -> DataFrame:
         F.col("internal_uuid").alias(f"{source}_uuid"),
         (F.col("batch_date")).alias(f"{source}_batch"),
         F.lit(True).alias(f"has_{source}"),
+        F.xxhash64(*conformed.columns).alias("row_hash"),
         *[F.col(column).alias(target) for target, column in CONTRIBUTIONS[source].items()],
     )
 
 
 def _absent(spine: DataFrame, like: DataFrame, source: str) -> DataFrame:
     """A placeholder row for every application the vendor has not answered."""
-    missing = spine.filter(F.col("mask").bitwiseAND(_BITS[source]) == 0)
+    missing = spine.filter(F.col(f"rows_{source}") == 0)
     return missing.select(
         [
-            F.col(KEY) if f.name == KEY
+            F.col(f.name) if f.name in _KEYS
             else F.lit(False).alias(f.name) if f.name == f"has_{source}"
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in like.schema.fields
@@ -69,18 +72,40 @@ def _absent(spine: DataFrame, like: DataFrame, source: str) -> DataFrame:
     )
 
 
-def assemble_application_request(bureau: DataFrame, fraud: DataFrame, aml: DataFrame, as_of: str) -> DataFrame:
+def _pieces(source: str, hot_rows: int) -> Column:
+    """Into how many slots a vendor's answers to an application are split."""
+    return F.greatest(F.ceil(F.col(f"rows_{source}") / hot_rows), F.lit(1)).cast("int")
+
+
+def _slotted(side: DataFrame, source: str, hot: DataFrame) -> DataFrame:
+    """Rows of a vendor in their own slot, repeated for every slot of the others.
+
+    For all but hot applications there is one slot, and one row stays one row.
+    """
+    tagged = side.join(F.broadcast(hot), KEY, "left")
+    pieces = {s: F.coalesce(f"pieces_{s}", F.lit(1)) for s in SOURCES}
+    placed = tagged.withColumn(SLOTS[source], F.pmod(F.col("row_hash"), pieces[source]).cast("int"))
+    for other in SOURCES:
+        if other != source:
+            placed = placed.withColumn(SLOTS[other], F.explode(F.sequence(F.lit(0), pieces[other] - 1)))
+    return placed.select(*_KEYS, *[c for c in side.columns if c not in (KEY, "row_hash")])
+
+
+def assemble_application_request(
+    bureau: DataFrame, fraud: DataFrame, aml: DataFrame, as_of: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Full outer join of the vendors on the application, for the run's applications.
 
     An application belongs to the run if any of its vendor rows does. Answers
     given twice fan out, and rows without an application id stay single: both as
     in a plain full outer join followed by an OR over the three batch dates.
 
-    That plain form joins all history before it filters, and Spark cannot split
-    a hot key of a full outer join. So one pass over (key, batch date) finds the
-    run's applications and who answered them; vendors that did not answer get a
+    That plain form joins all history before it filters, and a full outer join
+    cannot split a hot key. So one pass over (key, batch date) counts who
+    answered each of the run's applications. Vendors that did not answer get a
     placeholder row, which turns the outer joins into inner joins of the run's
-    rows only. AQE splits a hot key of an inner join on either side.
+    rows only; and an application with very many answers is cut into slots, each
+    vendor's rows spread over its own slots and repeated over the others'.
     """
     day = F.lit(as_of).cast("date")
     tables = dict(zip(SOURCES, (bureau, fraud, aml)))
@@ -90,20 +115,34 @@ def assemble_application_request(bureau: DataFrame, fraud: DataFrame, aml: DataF
         DataFrame.unionByName,
         [
             df.filter(F.col(KEY).isNotNull()).select(
-                KEY, (F.lit(_BITS[s]) + F.when(F.col("batch_date") == day, _TODAY).otherwise(0)).alias("mask")
+                KEY, F.lit(s).alias("source"), (F.col("batch_date") == day).alias("of_the_day")
             )
             for s, df in tables.items()
         ],
     )
     spine = (
-        presence.groupBy(KEY).agg(F.bit_or("mask").alias("mask")).filter(F.col("mask").bitwiseAND(_TODAY) != 0)
+        presence.groupBy(KEY)
+        .agg(
+            F.bool_or("of_the_day").alias("of_the_day"),
+            *[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in SOURCES],
+        )
+        .filter("of_the_day")
     )
+    # A hot application has over ``hot_rows`` rows: few enough of them to broadcast.
+    hot = spine.filter(F.greatest(*[F.col(f"rows_{s}") for s in SOURCES]) > hot_rows).select(
+        KEY, *[_pieces(s, hot_rows).alias(f"pieces_{s}") for s in SOURCES]
+    )
+    spread = spine
+    for s in SOURCES:
+        spread = spread.withColumn(SLOTS[s], F.explode(F.sequence(F.lit(0), _pieces(s, hot_rows) - 1)))
+    spread = spread.select(*_KEYS, *[f"rows_{s}" for s in SOURCES])
 
     complete = []
     for source, side in sides.items():
-        answered = side.join(spine.select(KEY), KEY, "left_semi")
-        complete.append(answered.unionByName(_absent(spine, side, source)))
-    joined = reduce(lambda left, right: left.join(right, KEY, "inner"), complete)
+        placed = _slotted(side.filter(F.col(KEY).isNotNull()), source, hot)
+        answered = placed.join(spread.select(*_KEYS), _KEYS, "left_semi")
+        complete.append(answered.unionByName(_absent(spread, answered, source)))
+    joined = reduce(lambda left, right: left.join(right, _KEYS, "inner"), complete).drop(*SLOTS.values())
     # Some vendor row of this very combination must be of the run.
     joined = joined.filter(
         reduce(lambda a, b: a | b, [F.coalesce(F.col(f"{s}_batch") == day, F.lit(False)) for s in SOURCES])
@@ -111,7 +150,10 @@ def assemble_application_request(bureau: DataFrame, fraud: DataFrame, aml: DataF
 
     unkeyed = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [side.filter(F.col(KEY).isNull() & (F.col(f"{s}_batch") == day)) for s, side in sides.items()],
+        [
+            side.filter(F.col(KEY).isNull() & (F.col(f"{s}_batch") == day)).drop("row_hash")
+            for s, side in sides.items()
+        ],
     )
     rows = joined.unionByName(unkeyed)
 

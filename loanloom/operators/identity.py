@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.similarity import jaro_winkler
 from loanloom.functions.text import name_uuid, normalize_email, normalize_phone, piped, strip
+from loanloom.operators.keys import splittable
 from loanloom.schemas import conform
 
 RULE_VERSION = "v1.0"
@@ -81,8 +82,10 @@ def join_profile(responses: DataFrame, profile: DataFrame) -> DataFrame:
     The profile has one row per customer, so a customer with very many
     responses is a hot key on the splittable side only.
     """
-    side = profile.select("internal_uuid", *[F.col(c).alias(f"profile_{c}") for c in PROFILE_COLUMNS])
-    return responses.join(side, "internal_uuid", "inner")
+    side = profile.filter(F.col("internal_uuid").isNotNull()).select(
+        F.col("internal_uuid").alias("__uuid"), *[F.col(c).alias(f"profile_{c}") for c in PROFILE_COLUMNS]
+    )
+    return responses.join(side, splittable(F.col("internal_uuid"), F.col("__uuid")), "inner").drop("__uuid")
 
 
 def cross_uuid_collision(fraud: DataFrame, profile: DataFrame) -> DataFrame:
@@ -104,11 +107,12 @@ def cross_uuid_collision(fraud: DataFrame, profile: DataFrame) -> DataFrame:
                 F.max("internal_uuid").alias("last_owner"),
             )
         )
+        owners = owners.withColumnRenamed("value", "owned_value")
         returned = fraud.select("application_id", "internal_uuid", normalise(F.col(matched_on)).alias("value"))
         own = profile.select("internal_uuid", normalise(F.col(matched_on)).alias("own_value"))
         hits = (
             returned.filter(F.col("value").isNotNull())
-            .join(owners, "value", "inner")
+            .join(owners, splittable(F.col("value"), F.col("owned_value")), "inner")
             .filter((F.col("owners") > 1) | (F.col("first_owner") != F.col("internal_uuid")))
             .join(own, "internal_uuid", "left")
         )

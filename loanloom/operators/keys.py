@@ -30,31 +30,58 @@ def _pick(df: DataFrame, keys: Sequence[str], pick, order: Sequence[str]) -> Dat
     return chosen.select(*keys, f"{_ROW}.*").select(*df.columns)
 
 
-def with_duplicate_count(df: DataFrame, key: str, name: str) -> DataFrame:
+# A key with more rows than this is hot. It bounds the hot keys themselves: a
+# table of 10^12 rows has at most 10^6 of them, so their list may be broadcast.
+HOT_ROWS = 1_000_000
+
+
+def _filler(*salt: Column) -> Column:
+    """A key no real key equals, spread over many values."""
+    return F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*salt), F.lit(4096)).cast("string"))
+
+
+def with_duplicate_count(df: DataFrame, key: str, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add how many rows share the row's key (rows without a key count as one group).
 
-    Only keys that repeat come back into the join: usually few enough for AQE to
-    broadcast them, and otherwise the row side of the left join is splittable.
+    Rows are counted per key map-side first. The counts of hot keys are
+    broadcast, so their rows take no part in the shuffle join that follows:
+    there they carry a filler key, spread evenly.
     """
     repeats = (
-        df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+        df.groupBy(F.col(key).cast("string").alias("__key"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > 1)
+    )
+    hot = repeats.filter(F.col("__n") > hot_rows).select(
+        F.col("__key").alias("__hot_key"), F.col("__n").alias("__hot_n")
     )
-    return (
-        df.join(repeats, F.col(key).eqNullSafe(F.col("__key")), "left")
-        .withColumn(name, F.coalesce("__n", F.lit(1).cast("bigint")))
-        .drop("__key", "__n")
+    usual = repeats.filter(F.col("__n") <= hot_rows)
+    text = F.col(key).cast("string")
+    tagged = df.join(F.broadcast(hot), text.eqNullSafe(F.col("__hot_key")), "left")
+    other = F.when(F.col("__hot_n").isNull(), text).otherwise(_filler(*[F.col(c) for c in df.columns]))
+    return tagged.join(usual, other.eqNullSafe(F.col("__key")), "left").select(
+        *df.columns, F.coalesce("__hot_n", "__n", F.lit(1).cast("bigint")).alias(name)
     )
 
 
 def spread_nulls(key: Column, *salt: Column) -> Column:
     """A left-join key under which rows without a key never match nor pile up."""
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*salt), F.lit(4096)).cast("string"))
-    return F.coalesce(key, filler)
+    return F.coalesce(key, _filler(*salt))
 
 
 def lookup(df: DataFrame, side: DataFrame, key: str, salt: Sequence[str]) -> DataFrame:
     """Left join of a side that has one row per key; rows without a key stay, unmatched."""
     renamed = side.withColumnRenamed(key, "__key")
-    return df.join(
-        renamed, spread_nulls(F.col(key), *[F.col(c) for c in salt]) == F.col("__key"), "left"
-    ).drop("__key")
+    spread = spread_nulls(F.col(key), *[F.col(c) for c in salt])
+    return df.join(renamed, splittable(spread, F.col("__key")), "left").drop("__key")
+
+
+def splittable(left: Column, right: Column) -> Column:
+    """Equality of a key that may be hot on the left with one that is unique on the right.
+
+    AQE splits a hot key only if both sides come straight out of a shuffle. A
+    right side that was aggregated by the key is partitioned by it already and
+    would skip that shuffle; null-safe equality compares derived keys, for which
+    the old partitioning does not do. A NULL on both sides must not occur.
+    """
+    return left.eqNullSafe(right)

@@ -3,9 +3,10 @@
 All stages come out of one pass over the parameters. The parameters of the date
 meet their loan first (an inner join on ``loan_id`` with one row on the loan
 side), which drops the term structures of stage 1 loans and leaves the rows
-partitioned by loan: the aggregates per period, per scenario and per loan need
-no further exchange. Should one loan hold very many rows, AQE splits it in that
-join and the aggregates collapse it before they shuffle.
+partitioned by loan: the aggregates per period, per scenario and per loan, and
+the join of the loan terms between them, need no further exchange of
+parameters. Should one loan hold very many rows, AQE splits it in that join and
+the aggregates collapse it before they shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ METHOD_VERSION = "v1.0"
 SCENARIO_NAMES = ("BASELINE", "ADVERSE", "SEVERE")
 WEIGHT_TOLERANCE = 1e-6
 
-_LOAN = ("loan_id", "reporting_date", "current_stage", "stage_history_id", "effective_interest_rate")
+_LOAN = ("loan_id", "reporting_date", "current_stage", "stage_history_id")
+_TERMS = ("effective_interest_rate",)
 _SCENARIO = ("scenario_id", "scenario_name", "scenario_weight")
 
 
@@ -54,18 +56,12 @@ def reproduce_as_of(params: DataFrame, model_version: str, batch_date: str | Non
     return chosen if batch_date is None else chosen.filter(F.col("batch_date") == F.lit(batch_date).cast("date"))
 
 
-def staged_parameters(
-    loans: DataFrame, pit: DataFrame, scenarios: DataFrame, terms: DataFrame, reporting_date: str
-) -> DataFrame:
+def staged_parameters(loans: DataFrame, pit: DataFrame, scenarios: DataFrame, reporting_date: str) -> DataFrame:
     """The parameter rows each loan's stage uses, with loan and scenario attributes.
 
     Stage 1 uses the 12-month PD, stage 2 the PD term structure, stage 3 none;
-    point LGD and EAD serve all, an EAD per period only stage 2. A stage 2 loan
-    needs its interest rate for discounting.
+    point LGD and EAD serve all, an EAD per period only stage 2.
     """
-    loan_side = loans.join(terms.select("loan_id", "effective_interest_rate"), "loan_id", "left").filter(
-        (F.col("current_stage") != 2) | F.col("effective_interest_rate").isNotNull()
-    )
     weights = _on(scenarios, reporting_date).select(
         "scenario_id", "scenario_name", F.col("scenario_weight").cast("double").alias("scenario_weight")
     )
@@ -83,7 +79,7 @@ def staged_parameters(
     # (much larger) side is never the one that is broadcast or built.
     return (
         parameters.filter(point | twelve_month_pd | lifetime_pd | period_ead)
-        .join(loan_side.hint("shuffle_hash"), "loan_id", "inner")
+        .join(loans.hint("shuffle_hash"), "loan_id", "inner")
         .filter(used)
         .join(small_side(weights), "scenario_id", "inner")
     )
@@ -96,11 +92,12 @@ def _preferred(value: Column, condition: Column) -> Column:
     return F.coalesce(F.max(F.when(condition & own_horizon, value)), F.max(F.when(condition, value)))
 
 
-def parameters_by_period(params: DataFrame, with_ids: bool = False) -> DataFrame:
+def parameters_by_period(params: DataFrame, terms: DataFrame, with_ids: bool = False) -> DataFrame:
     """One row per loan, scenario and period: PD, LGD and EAD side by side.
 
     A conditional aggregate takes the place of one join per parameter type, and
-    makes a repeated parameter row harmless.
+    makes a repeated parameter row harmless. The interest rate joins the
+    collapsed rows; a stage 2 loan needs it for discounting.
     """
     is_pd, is_lgd, is_ead = (F.col("parameter_type") == t for t in ("PD", "LGD", "EAD"))
     wanted = [
@@ -115,7 +112,9 @@ def parameters_by_period(params: DataFrame, with_ids: bool = False) -> DataFrame
             _preferred(stamped, is_lgd)["parameter_id"].alias("lgd_parameter_id"),
             _preferred(stamped, is_ead)["parameter_id"].alias("ead_parameter_id"),
         ]
-    return params.groupBy(*_LOAN, *_SCENARIO, "period_number").agg(*wanted)
+    collapsed = params.groupBy(*_LOAN, *_SCENARIO, "period_number").agg(*wanted)
+    rated = collapsed.join(terms.select("loan_id", *_TERMS), "loan_id", "left")
+    return rated.filter((F.col("current_stage") != 2) | F.col("effective_interest_rate").isNotNull())
 
 
 def scenario_ecl(by_period: DataFrame) -> DataFrame:
@@ -133,7 +132,7 @@ def scenario_ecl(by_period: DataFrame) -> DataFrame:
     no_period = ~periodic
 
     ids = [c for c in ("pd_parameter_id", "lgd_parameter_id", "ead_parameter_id") if c in by_period.columns]
-    sums = by_period.groupBy(*_LOAN, *_SCENARIO).agg(
+    sums = by_period.groupBy(*_LOAN, *_TERMS, *_SCENARIO).agg(
         F.max(F.when(no_period, pd_value)).alias("pd_12m"),
         F.max(F.when(no_period, F.col("lgd"))).alias("lgd_used"),
         F.max(F.when(no_period, ead_value)).alias("ead_used"),
@@ -154,6 +153,7 @@ def scenario_ecl(by_period: DataFrame) -> DataFrame:
     flat = F.when(stage == 1, F.col("pd_12m") * lgd * ead).when(stage == 3, lgd * ead)
     return sums.select(
         *_LOAN,
+        *_TERMS,
         *_SCENARIO,
         F.when(stage == 1, F.col("pd_12m")).alias("pd_used"),
         "lgd_used",
@@ -175,8 +175,8 @@ def per_scenario(
 ) -> DataFrame:
     """Scenario ECL of the date's loans in the given stages."""
     loans = loans_in_stage(history, reporting_date, stages)
-    params = staged_parameters(loans, pit, scenarios, terms, reporting_date)
-    return scenario_ecl(parameters_by_period(params, with_ids))
+    params = staged_parameters(loans, pit, scenarios, reporting_date)
+    return scenario_ecl(parameters_by_period(params, terms, with_ids))
 
 
 def scenario_pivot(value: str = "scenario_ecl") -> list[Column]:
@@ -238,7 +238,7 @@ def period_shortfalls(by_period: DataFrame) -> DataFrame:
     return (
         spread.filter(F.col("period_number").isNotNull())
         .select(
-            *_LOAN, *_SCENARIO, "period_number", F.col("pd").alias("marginal_pd"), "lgd_used",
+            *_LOAN, *_TERMS, *_SCENARIO, "period_number", F.col("pd").alias("marginal_pd"), "lgd_used",
             ead.alias("ead_this_period"),
             discount_factor(F.col("effective_interest_rate"), F.col("period_number")).alias("discount_factor"),
         )
@@ -288,7 +288,7 @@ def write_ecl_calculation(scenarios: DataFrame, overlays: DataFrame, reporting_d
     def of_scenario(name: str) -> Column:
         return F.max(F.when(~weighted, F.col(name))).alias(name)
 
-    rows = twice.groupBy(*_LOAN, F.when(~weighted, F.col("scenario_id")).alias("scenario_id"), "is_weighted").agg(
+    rows = twice.groupBy(*_LOAN, *_TERMS, F.when(~weighted, F.col("scenario_id")).alias("scenario_id"), "is_weighted").agg(
         money(F.sum(F.col("gross_ecl") * factor)).alias("gross_ecl_undiscounted"),
         money(F.sum(F.col("scenario_ecl") * factor)).alias("ecl_present_value"),
         *[of_scenario(c) for c in ("pd_used", "lgd_used", "ead_used", *ids)],

@@ -93,9 +93,12 @@ def _approximate_bins(known: DataFrame, quantiles: list[float], accuracy: int) -
     cuts = known.filter("is_baseline").agg(F.percentile_approx("score", quantiles, accuracy).alias("cuts"))
     edges, has_bins = _inner_edges(F.col("cuts"))
     found = cuts.select(edges.alias("edges"), has_bins.alias("has_bins"))
+    edge_values = found.select("edges").scalar()
+    above = [
+        F.when(F.get(edge_values, F.lit(i)) < F.col("score"), 1).otherwise(0) for i in range(len(quantiles) - 2)
+    ]
     return known.groupBy(
-        _bin_of(found.select("edges").scalar(), F.col("score")).alias("bin"),
-        found.select("has_bins").scalar().alias("has_bins"),
+        sum(above, F.lit(0)).alias("bin"), found.select("has_bins").scalar().alias("has_bins")
     ).agg(F.count_if("is_baseline").alias("expected"), F.count_if(~F.col("is_baseline")).alias("actual"))
 
 

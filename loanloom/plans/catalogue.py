@@ -548,7 +548,7 @@ def vintage_join(v):
 def _by_period(v, stages) -> DataFrame:
     history, pit, scenarios, terms = v.ecl_inputs
     loans = provisions.loans_in_stage(history, AS_OF, stages)
-    return provisions.parameters_by_period(provisions.staged_parameters(loans, pit, scenarios, terms, AS_OF))
+    return provisions.parameters_by_period(provisions.staged_parameters(loans, pit, scenarios, AS_OF), terms)
 
 
 @query

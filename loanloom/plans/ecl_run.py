@@ -50,11 +50,11 @@ def run_provisions(spark: SparkSession, root: str, reporting_date: str, overlays
         loans_in_stage(history, reporting_date, (1, 2, 3)),
         read_table(spark, root, "ecl.risk_parameters_pit"),
         scenarios,
-        read_table(spark, root, "mart.dim_loan_terms"),
         reporting_date,
     )
     scratch = scratch_path(spark, "parameters-by-period")
-    parameters_by_period(params, with_ids=True).write.parquet(scratch)
+    terms = read_table(spark, root, "mart.dim_loan_terms")
+    parameters_by_period(params, terms, with_ids=True).write.parquet(scratch)
     by_period = spark.read.parquet(scratch)
 
     figures = scenario_ecl(by_period)
