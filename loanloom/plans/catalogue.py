@@ -7,6 +7,7 @@ The queries read the lending-shaped views of the test tables, run one operator
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,15 +86,26 @@ class Inputs:
             }
         )
 
-    @property
+    def stored(self, name: str) -> DataFrame:
+        """A derived table written to the shared folder, as its readers find it."""
+        path = scratch_path(self.spark, name)
+        getattr(self, name).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
     def request(self) -> DataFrame:
-        return assemble.assemble_application_request(
-            self.conformed_bureau, self.conformed_fraud, self.conformed_aml, AS_OF
-        )
+        """Assembled from stored vendor tables: assembling reads each of them twice."""
+        vendors = [self.stored(n) for n in ("conformed_bureau", "conformed_fraud", "conformed_aml")]
+        return assemble.assemble_application_request(*vendors, AS_OF)
+
+    @cached_property
+    def request_table(self) -> DataFrame:
+        """The assembled requests as the stored table that the gate reads."""
+        return self.stored("request")
 
     @property
     def evaluated(self) -> DataFrame:
-        return rules.evaluate_must_pass(self.request, AS_OF)
+        return rules.evaluate_must_pass(self.request_table, AS_OF)
 
     @property
     def decision_facts(self) -> DataFrame:
@@ -469,17 +481,17 @@ def evaluate_must_pass(v):
 
 @query
 def blocked_records(v):
-    return rules.blocked_records(v.request, AS_OF).select(*_EVALUATED)
+    return rules.blocked_records(v.request_table, AS_OF).select(*_EVALUATED)
 
 
 @query
 def passed_records(v):
-    return rules.passed_records(v.request, AS_OF).select(*_EVALUATED)
+    return rules.passed_records(v.request_table, AS_OF).select(*_EVALUATED)
 
 
 @query
 def gold_sql_gate(v):
-    return rules.gold_sql_gate(v.request, AS_OF).select("application_id", "internal_uuid", "aecb_score")
+    return rules.gold_sql_gate(v.request_table, AS_OF).select("application_id", "internal_uuid", "aecb_score")
 
 
 @query
@@ -728,12 +740,12 @@ _REQUIRED = ("aecb_score", "fraud_score", "aml_status", "dob")
 
 @query
 def warn_source_completeness(v):
-    return warnings.warn_source_completeness(v.request, _REQUIRED)
+    return warnings.warn_source_completeness(v.request_table, _REQUIRED)
 
 
 @query
 def warn_duplicate_rate(v):
-    return warnings.warn_duplicate_rate(v.request)
+    return warnings.warn_duplicate_rate(v.request_table)
 
 
 @query
@@ -770,8 +782,8 @@ def warn_manual_review_queue_age(v):
 
 def _warning_metrics(v) -> DataFrame:
     return (
-        warnings.warn_source_completeness(v.request, _REQUIRED)
-        .unionByName(warnings.warn_duplicate_rate(v.request))
+        warnings.warn_source_completeness(v.request_table, _REQUIRED)
+        .unionByName(warnings.warn_duplicate_rate(v.request_table))
         .unionByName(warnings.warn_fraud_score_drift_psi(v.fraud_scores))
         .unionByName(warnings.warn_bureau_arrival_lag(_lagged(v), "submitted_at", "aecb_received_at"))
     )
@@ -858,12 +870,12 @@ def audit_aml(v):
 
 @query
 def build_decision_input(v):
-    return gold.build_decision_input(v.request, AS_OF)
+    return gold.build_decision_input(v.request_table, AS_OF)
 
 
 @query
 def build_gold_request(v):
-    return gold.build_gold_request(v.request, AS_OF)
+    return gold.build_gold_request(v.request_table, AS_OF)
 
 
 @query

@@ -413,14 +413,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Views that make dozens of rows out of one input row.
-WIDENING = {"pit", "ttc"}
+# Views that make many rows, or feed much work per row.
+HEAVY = {"pit", "ttc", "bureau_answers", "fraud_answers", "aml_answers", "servicing"}
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Give an input that sits in too few files one partition per core.
 
-    A test table is a single row group, which one task would widen alone. Input
+    A test table is a single row group, which one task would work off alone. Input
     that already comes in many partitions is left as it is.
     """
     cores = spark.sparkContext.defaultParallelism
@@ -432,7 +432,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     names = _needed((name,))
     text = " ".join(VIEWS[n] for n in names)
     bases = {t: table(spark, sf_dir, t) for t in BASE_TABLES if t in _words(text)}
-    if WIDENING & set(names):
+    if HEAVY & set(names):
         bases = {t: _spread(spark, df) for t, df in bases.items()}
     ctes = [f"{t} AS (SELECT * FROM {{{t}_input}})" for t in bases]
     for n in names:
