@@ -93,22 +93,27 @@ def land(spark: SparkSession, root: str, envelope: DataFrame, source: str) -> No
     """Append what is new; where the last delivery wins, replace what it changes."""
     table = TABLE_OF[source]
     keys, keep = IDEMPOTENCY[source]
-    existing = read_table(spark, root, table)
+    days = None
     if "ingest_date" in keys:
         # Repeats are looked for in the days of this batch only.
         days = envelope.agg(F.min("ingest_date").alias("lo"), F.max("ingest_date").alias("hi")).first()
-        existing = existing.filter(F.col("ingest_date").between(F.lit(days.lo), F.lit(days.hi)))
-    fresh = append_idempotent(envelope, existing, source)
+
+    def held() -> DataFrame:
+        whole = read_table(spark, root, table)
+        return whole if days is None else whole.filter(F.col("ingest_date").between(F.lit(days.lo), F.lit(days.hi)))
+
     if keep == "last":
-        held = _with_content_key(existing).select(*keys, F.col("content_hash").alias("held_hash"))
+        existing = held()
+        before = _with_content_key(existing).select(*keys, F.col("content_hash").alias("held_hash"))
         latest = _with_content_key(dedupe_batch(envelope, source))
-        changed = latest.join(held, list(keys), "inner").filter(F.col("content_hash") != F.col("held_hash"))
+        changed = latest.join(before, list(keys), "inner").filter(F.col("content_hash") != F.col("held_hash"))
         changed = changed.select(*envelope.columns)
-        if not changed.isEmpty():
-            days = [r[0] for r in changed.select("ingest_date").distinct().collect()]
-            touched = existing.filter(F.col("ingest_date").isin(days))
-            write_partitioned(replace_by_key(touched, changed, keys), root, table, mode="replay")
-    write_partitioned(fresh, root, table)
+        touched = [r[0] for r in changed.select("ingest_date").distinct().collect()]
+        if touched:
+            rows = replace_by_key(existing.filter(F.col("ingest_date").isin(touched)), changed, keys)
+            write_partitioned(rows, root, table, mode="replay")
+    # Read again: a replaced day has new files.
+    write_partitioned(append_idempotent(envelope, held(), source), root, table)
 
 
 def land_exceptions(spark: SparkSession, root: str, exceptions: DataFrame, source: str) -> None:
