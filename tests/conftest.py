@@ -15,6 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("loanloom-tests", cores=8, shuffle_partitions=4)
+    session.conf.set("spark.sql.maxMetadataStringLength", "4000")
     yield session
     session.stop()
 
