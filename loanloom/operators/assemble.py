@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.operators.keys import HOT_ROWS
+from loanloom.operators.keys import HOT_ROWS, splittable
 from loanloom.schemas import conform
+from loanloom.sizing import small_side
 
 KEY = "application_id"
 
@@ -101,32 +102,30 @@ def assemble_application_request(
     in a plain full outer join followed by an OR over the three batch dates.
 
     That plain form joins all history before it filters, and a full outer join
-    cannot split a hot key. So one pass over (key, batch date) counts who
-    answered each of the run's applications. Vendors that did not answer get a
-    placeholder row, which turns the outer joins into inner joins of the run's
-    rows only; and an application with very many answers is cut into slots, each
+    cannot split a hot key. So the run's applications are taken from the run's
+    partitions first and pick their rows out of the history, without a shuffle
+    of it while they fit a broadcast. Vendors that did not answer get a
+    placeholder row, which turns the outer joins into inner joins of the picked
+    rows; and an application with very many answers is cut into slots, each
     vendor's rows spread over its own slots and repeated over the others'.
     """
     day = F.lit(as_of).cast("date")
     tables = dict(zip(SOURCES, (bureau, fraud, aml)))
     sides = {source: _contribution(df, source) for source, df in tables.items()}
 
-    presence = reduce(
+    of_the_day = reduce(
         DataFrame.unionByName,
-        [
-            df.filter(F.col(KEY).isNotNull()).select(
-                KEY, F.lit(s).alias("source"), (F.col("batch_date") == day).alias("of_the_day")
-            )
-            for s, df in tables.items()
-        ],
+        [df.filter((F.col("batch_date") == day) & F.col(KEY).isNotNull()).select(KEY) for df in tables.values()],
     )
+    day_keys = small_side(of_the_day.distinct().withColumnRenamed(KEY, "day_key"))
+    picked = {
+        source: side.join(day_keys, splittable(F.col(KEY), F.col("day_key")), "left_semi")
+        for source, side in sides.items()
+    }
     spine = (
-        presence.groupBy(KEY)
-        .agg(
-            F.bool_or("of_the_day").alias("of_the_day"),
-            *[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in SOURCES],
-        )
-        .filter("of_the_day")
+        reduce(DataFrame.unionByName, [df.select(KEY, F.lit(s).alias("source")) for s, df in picked.items()])
+        .groupBy(KEY)
+        .agg(*[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in SOURCES])
     )
     # A hot application has over ``hot_rows`` rows: few enough of them to broadcast.
     hot = spine.filter(F.greatest(*[F.col(f"rows_{s}") for s in SOURCES]) > hot_rows).select(
@@ -138,10 +137,9 @@ def assemble_application_request(
     spread = spread.select(*_KEYS, *[f"rows_{s}" for s in SOURCES])
 
     complete = []
-    for source, side in sides.items():
-        placed = _slotted(side.filter(F.col(KEY).isNotNull()), source, hot)
-        answered = placed.join(spread.select(*_KEYS), _KEYS, "left_semi")
-        complete.append(answered.unionByName(_absent(spread, answered, source)))
+    for source, side in picked.items():
+        placed = _slotted(side, source, hot)
+        complete.append(placed.unionByName(_absent(spread, placed, source)))
     joined = reduce(lambda left, right: left.join(right, _KEYS, "inner"), complete).drop(*SLOTS.values())
     # Some vendor row of this very combination must be of the run.
     joined = joined.filter(
