@@ -276,22 +276,33 @@ def write_lifetime_detail(shortfalls: DataFrame, reporting_date: str) -> DataFra
 def write_ecl_calculation(scenarios: DataFrame, overlays: DataFrame, reporting_date: str) -> DataFrame:
     """Calculation rows to append: one per scenario and one weighted row per loan.
 
-    Each scenario row is emitted twice, as itself and as its weighted share; one
-    aggregate turns the shares into the booked row, so the scenario figures are
-    computed once. The overlay stays a column of its own, on the booked row.
+    The weighted sums come from a window over a loan's scenarios (one row each,
+    so it is as short as the scenario set); the loan's first row then also emits
+    the booked row. The scenario figures are computed once and nothing but them
+    is sorted. The overlay stays a column of its own, on the booked row.
     """
     ids = ("pd_parameter_id", "lgd_parameter_id", "ead_parameter_id")
-    twice = scenarios.withColumn("is_weighted", F.explode(F.array(F.lit(False), F.lit(True))))
+    of_loan = Window.partitionBy(*_LOAN)
+    is_first = F.row_number().over(of_loan.orderBy("scenario_id")) == 1
+    summed = scenarios.withColumns(
+        {
+            "weighted_gross": F.sum(F.col("gross_ecl") * F.col("scenario_weight")).over(of_loan),
+            "weighted_ecl": F.sum(F.col("scenario_ecl") * F.col("scenario_weight")).over(of_loan),
+            "emits": F.when(is_first, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))),
+        }
+    ).withColumn("is_weighted", F.explode("emits"))
     weighted = F.col("is_weighted")
-    factor = F.when(weighted, F.col("scenario_weight")).otherwise(1.0)
 
     def of_scenario(name: str) -> Column:
-        return F.max(F.when(~weighted, F.col(name))).alias(name)
+        return F.when(~weighted, F.col(name)).alias(name)
 
-    rows = twice.groupBy(*_LOAN, *_TERMS, F.when(~weighted, F.col("scenario_id")).alias("scenario_id"), "is_weighted").agg(
-        money(F.sum(F.col("gross_ecl") * factor)).alias("gross_ecl_undiscounted"),
-        money(F.sum(F.col("scenario_ecl") * factor)).alias("ecl_present_value"),
-        *[of_scenario(c) for c in ("pd_used", "lgd_used", "ead_used", *ids)],
+    rows = summed.select(
+        *_LOAN,
+        *_TERMS,
+        "is_weighted",
+        money(F.when(weighted, F.col("weighted_gross")).otherwise(F.col("gross_ecl"))).alias("gross_ecl_undiscounted"),
+        money(F.when(weighted, F.col("weighted_ecl")).otherwise(F.col("scenario_ecl"))).alias("ecl_present_value"),
+        *[of_scenario(c) for c in ("scenario_id", "pd_used", "lgd_used", "ead_used", *ids)],
     )
     overlay_columns = ("management_overlay_amount", "overlay_justification", "overlay_approved_by")
     booked = overlays.select("loan_id", F.lit(True).alias("is_weighted"), *overlay_columns)

@@ -20,10 +20,11 @@ LIGHT = sorted(
         "build_gold_request", "pending_sources", "assemble_application_request",
     }
 )
-# The only windows: over aggregated rows, one loan's periods, one loan's reporting dates.
+# The only windows: over aggregated rows, one loan's periods, scenarios or reporting dates.
 WINDOWED = {
     "approval_rate_by_product_month", "delinquency_distribution", "pct_of_month", "pct_of_product", "order_presentations",
     "warn_fraud_score_drift_psi", "stage_transition", "stage2_param_joins", "write_lifetime_detail",
+    "write_ecl_calculation", "overlay_check", "rollup_joins", "ecl_portfolio_rollup",
 }
 PYTHON = {"jaro_winkler", "aml_match_score", "aml_match_decision", "conform_aml", "audit_aml", "match_exceptions",
           "manual_review_queue", "union_match_audit", "warn_manual_review_queue_age"}
