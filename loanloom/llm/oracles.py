@@ -28,3 +28,43 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
+
+MIX = r"""
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), ranked AS (
+    SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1)::INTEGER % 3 + 1] AS weight FROM totals
+), fill AS (
+    SELECT *, coalesce(sum(source_size) OVER earlier, 0)::BIGINT AS full_before, coalesce(sum(weight) OVER earlier, 0)::BIGINT AS weight_before,
+           row_number() OVER (ORDER BY source_size::DOUBLE / weight, source IS NULL, encode(source)) AS place
+    FROM ranked
+    WINDOW earlier AS (ORDER BY source_size::DOUBLE / weight, source IS NULL, encode(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), whole AS (
+    SELECT sum(source_size)::BIGINT AS words, sum(weight)::BIGINT AS weights FROM ranked
+), leveled AS (
+    SELECT *, (words * 3 - full_before * 2 * 2)::DOUBLE / ((weights - weight_before) * 2)::DOUBLE AS own_level FROM fill, whole
+), level AS (
+    SELECT arg_min(own_level, place) AS level FROM leveled WHERE own_level * weight <= source_size * 2
+), targets AS (
+    SELECT source, source_size, least(level * weight, (source_size * 2)::DOUBLE) AS target FROM leveled, level
+), queued AS (
+    SELECT doc_id, s.source, size, source_size, target,
+           coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':mix'), size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS queued
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), copies AS (
+    SELECT size, (queued + k * source_size + size::DOUBLE / 2) / target AS at_time
+    FROM queued, (VALUES (0), (1)) AS v(k) WHERE size > 0
+), run AS (
+    SELECT at_time, size, sum(size) OVER (ORDER BY at_time, size ROWS UNBOUNDED PRECEDING) AS total FROM copies
+), cut AS (
+    SELECT coalesce(max(at_time) FILTER (WHERE 2 * (2 * total - size) <= 2 * 3 * words), 0) AS cut FROM run, whole
+)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN size = 0 THEN 0
+            ELSE size * (((queued + size::DOUBLE / 2) / target <= cut)::BIGINT
+                         + ((queued + source_size + size::DOUBLE / 2) / target <= cut)::BIGINT) END::BIGINT AS taken
+FROM queued, cut
+"""

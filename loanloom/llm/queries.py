@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanloom.llm import decontaminate, language, oracles
+from loanloom.llm import decontaminate, language, mixing, oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op8_mix": oracles.MIX,
     "op10_decontaminate": oracles.DECONTAMINATE,
 }
 
@@ -23,6 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(mixing.sized(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(table(spark, sf_dir, "documents"))

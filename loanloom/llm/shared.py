@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanloom.session import scratch_path
 
@@ -17,6 +19,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(docs: DataFrame, label: str = "rows") -> DataFrame:
+    """``docs`` with ``__file`` and ``__row``, which name each row of a table for good.
+
+    Ids may repeat or be null; a row's place in its file does not. What is not
+    read from files is written to the shared folder first.
+    """
+    keys = {"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")}
+    try:
+        return docs.withColumns(keys)
+    except AnalysisException:
+        return stored(docs, label).withColumns(keys)
+
+
 def folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, as a URI that tasks can open files in."""
     path = scratch_path(spark, label)
