@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanloom.llm import decontaminate, language, mixing, oracles
+from loanloom.llm import decontaminate, language, mixing, oracles, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -24,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public tokenizer file lies on this and every other machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read_back(tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 @query
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(mixing.sized(table(spark, sf_dir, "documents")))
