@@ -68,3 +68,24 @@ SELECT doc_id, size, source_size, target,
                          + ((queued + source_size + size::DOUBLE / 2) / target <= cut)::BIGINT) END::BIGINT AS taken
 FROM queued, cut
 """
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '{_WORD}'), []) AS words FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, words[k : k + 4] AS shingle
+    FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS k FROM d WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM shared s JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE s.n >= 0.8 * (p.n + q.n - s.n)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM d
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT x AS doc_id, min(y) AS component_id, x = min(y) AS kept FROM reach GROUP BY x
+"""

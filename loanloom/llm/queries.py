@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, language, mixing, oracles, tokens
+from loanloom.llm import decontaminate, language, mixing, near_duplicates, oracles, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op8_mix": oracles.MIX,
     "op10_decontaminate": oracles.DECONTAMINATE,
 }
@@ -36,6 +38,13 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_back(tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return found.select("doc_id", "component_id", kept.alias("kept"))
+
+
 @query
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(mixing.sized(table(spark, sf_dir, "documents")))
