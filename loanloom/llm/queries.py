@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, language, mixing, near_duplicates, oracles, tokens
+from loanloom.llm import decontaminate, language, mixing, near_duplicates, oracles, pii, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the public tokenizer file lies on this and every other machine."""
     import public_tokenizers
