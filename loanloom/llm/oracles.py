@@ -89,3 +89,16 @@ WITH RECURSIVE d AS (
 )
 SELECT x AS doc_id, min(y) AS component_id, x = min(y) AS kept FROM reach GROUP BY x
 """
+
+WARC = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest FROM pages
+), first AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload) END AS head FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN head IS NOT NULL AND head IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head IS DISTINCT FROM page_id THEN head END AS refers_to
+FROM first
+"""

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, language, mixing, near_duplicates, oracles, pii, tokens
+from loanloom.llm import decontaminate, language, mixing, near_duplicates, oracles, pii, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op2_warc": oracles.WARC,
     "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op8_mix": oracles.MIX,
     "op10_decontaminate": oracles.DECONTAMINATE,
@@ -31,6 +32,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the public tokenizer file lies on this and every other machine."""
     import public_tokenizers
