@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.llm.shared import stored
 from loanloom.llm.text import lower_ascii, steps, text_bytes
 
 WINDOW = 256
@@ -26,6 +27,8 @@ FILTERS = 16
 SAMPLE_ROWS = 2000
 SAMPLE_WINDOWS = 3
 UNKNOWN = "und"
+#: Rows of the table of language counts that are broadcast at most.
+BROADCAST_LANGUAGES = 10_000
 
 
 @dataclass
@@ -152,11 +155,13 @@ def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, windows: int =
     from each come to the driver, however large the corpus is.
     """
     labelled = labelled.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text")
-    counts = labelled.groupBy("lang").count()
-    each = rows / F.lit(max(1, counts.count()))
+    counts = stored(labelled.groupBy("lang").count(), "languages")
+    languages = counts.count()
+    each = rows / F.lit(max(1, languages))
     share = counts.select("lang", F.least(F.lit(1.0), F.lit(1.2) * each / F.col("count")).alias("share"))
     key = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = labelled.join(share, "lang").filter(key < F.col("share"))
+    chosen = labelled.join(F.broadcast(share) if languages <= BROADCAST_LANGUAGES else share, "lang")
+    chosen = chosen.filter(key < F.col("share"))
     room = F.greatest(F.length("text") - F.lit(WINDOW), F.lit(0)) + F.lit(1)
     pieces = [
         F.substr("text", F.pmod(F.xxhash64("text", F.lit(k)), room).cast("int") + F.lit(1), F.lit(WINDOW))
