@@ -102,3 +102,26 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN head IS DISTINCT FROM page_id THEN head END AS refers_to
 FROM first
 """
+
+EMBEDDINGS = """
+WITH RECURSIVE e AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+), usable AS (
+    SELECT * FROM e
+    WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(x, lambda c: c <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98
+), counted AS (
+    SELECT x, count(*) AS n FROM links GROUP BY x
+), reach AS (
+    SELECT vec_id AS x, vec_id AS y FROM e
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), smallest AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT s.x AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, s.x = component_id AS kept
+FROM smallest s LEFT JOIN counted c ON c.x = s.x
+"""

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, language, mixing, near_duplicates, oracles, pii, tokens, warc
+from loanloom.llm import decontaminate, embeddings, language, mixing, near_duplicates, oracles, pii, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op2_warc": oracles.WARC,
+    "op5_embeddings": oracles.EMBEDDINGS,
     "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op8_mix": oracles.MIX,
     "op10_decontaminate": oracles.DECONTAMINATE,
@@ -44,6 +45,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.link(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_back(tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer_path()))
