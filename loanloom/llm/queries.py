@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, embeddings, language, licenses, mixing, near_duplicates, oracles, pii, tokens, warc
+from loanloom.llm import decontaminate, embeddings, language, licenses, mixing, near_duplicates, ngrams, oracles, pii, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -45,6 +45,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_texts(table(spark, sf_dir, "documents"), language.fold("doc_id", 7) == 2)
+
+
 @query
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"]))
