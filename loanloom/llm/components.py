@@ -2,40 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loanloom.llm.shared import stored
 
 
-def _figures(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``u, v``: every node but the smallest of its component, and that smallest node.
 
     ``edges`` has two long columns; direction, repetition and loops do not
     matter. Large-star and small-star rounds (each a minimum per node and a
-    join) shorten all paths until nothing changes; the number of rounds grows
-    with the logarithm of the longest path. Each round's minima are written
-    before they are joined, so that a hub's edges can be split over tasks.
+    join) shorten all paths until only stars are left, which is so once no node
+    with a smaller neighbour has a second one; the number of rounds grows with the
+    logarithm of the longest path. The minima are written before they are joined,
+    so that a hub's edges can be split over tasks.
     """
     a, b = edges.columns
     now = stored(
         edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
-    figures = _figures(now)
-    while figures[0]:
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "large-star")
+        around = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        open_ = F.count(F.when((F.col("m") < F.col("u")) & (F.col("n") > 1), 1))
+        watch = Observation()
+        around = stored(around.observe(watch, open_.alias("open")), "star")
+        if not watch.get["open"]:
+            return now
+        least = around.select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large-edges")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "small-star")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        after = _figures(now)
-        if after == figures:
-            break
-        figures = after
-    return now
+
+
+def joined_by(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``found`` after further ``links``: only their roots are connected anew."""
+    a, b = links.columns
+    first = found.select(F.col("u").alias(a), F.col("v").alias("ra"))
+    second = found.select(F.col("u").alias(b), F.col("v").alias("rb"))
+    lifted = links.join(first, a, "left").join(second, b, "left").select(F.coalesce("ra", a).alias("a"), F.coalesce("rb", b).alias("b"))
+    more = components(lifted)
+    moved = found.join(more.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left")
+    return stored(moved.select("u", F.coalesce("w", "v").alias("v")).unionByName(more), "roots")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.components import components
+from loanloom.llm.components import components, joined_by
 from loanloom.llm.shared import stored
 from loanloom.llm.text import WORD_BYTES, Words, hashed_windows, mix, steps
 
@@ -144,32 +144,33 @@ def _links(docs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     if sets.count() != count:  # rows that repeat with their id
         sets = stored(sets.dropDuplicates(["node"]), "shingle-sets")
 
-    links = stored(verified(tried, sets, similarity), "links")
-    found = components(links)
+    found = components(verified(tried, sets, similarity))
     # Buckets that still hold several components: compare members of higher level (rarer by a
     # half each) with all others first; every pair across components is compared in the end.
     level = F.length(F.regexp_extract(F.conv(F.pmod(F.xxhash64("node"), F.lit(1 << 40)), 10, 2), "0*$", 0))
     wide = members.filter("n > 2").withColumn("level", level)
+    mixed = None
     for low, high in ((8, 99), (5, 8), (3, 5), (1, 3), (0, 1)):
-        rooted = wide.join(found.withColumnRenamed("u", "node"), "node", "left")
-        rooted = rooted.select("bucket", "node", "level", F.coalesce("v", "node").alias("root"))
-        mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c"))
-        mixed = stored(mixed.filter("x <> y").select("bucket", "c"), "mixed")
-        total, squares = mixed.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0))).first()
+        if mixed is None:
+            rooted = wide.join(found.withColumnRenamed("u", "node"), "node", "left")
+            rooted = rooted.select("bucket", "node", "level", F.coalesce("v", "node").alias("root"))
+            mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c"))
+            mixed = stored(mixed.filter("x <> y").select("bucket", "c"), "mixed")
+            total, squares = mixed.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0))).first()
+            open_ = stored(rooted.join(mixed.select("bucket"), "bucket"), "open") if total else None
         if not total:
             break
         at_once = squares <= 16 * total
-        open_ = stored(rooted.join(mixed.select("bucket"), "bucket"), "open")
-        leaders = open_.filter((F.col("level") >= (0 if at_once else low)) & (F.col("level") < (99 if at_once else high)))
+        leaders = open_ if at_once else open_.filter((F.col("level") >= low) & (F.col("level") < high))
         leaders = leaders.select("bucket", F.col("node").alias("l"), F.col("root").alias("lr"))
         pairs = leaders.join(open_, "bucket").filter("root <> lr")
         pairs = pairs.select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs)
-        new = stored(verified(pairs, sets, similarity), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            found = components(links)
+        if not pairs.isEmpty():
+            tried = tried.unionByName(pairs)
+            new = stored(verified(pairs, sets, similarity), "links")
+            if not new.isEmpty():
+                found, mixed = joined_by(found, new), None
         if at_once:
             break
     return found
