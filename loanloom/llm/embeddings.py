@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.components import components
+from loanloom.llm.components import components, local_roots
 from loanloom.llm.shared import stored
 
 COSINE = 0.98
@@ -137,20 +137,6 @@ def _descend(batches: Iterator[pa.RecordBatch], forest: dict[Key, list[Tree]]) -
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "member"])
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest row that each row is connected with."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _compare(table: pa.Table, cosine: float) -> pa.Table:
     """Weighted links of each vector that are counted here, and a smaller vector it is connected with."""
     table = table.combine_chunks()
@@ -184,7 +170,7 @@ def _compare(table: pa.Table, cosine: float) -> pa.Table:
             np.add.at(links, x[first], weight[y[first]])
             np.add.at(links, y[first], weight[x[first]])
     i, j = np.concatenate(firsts), np.concatenate(seconds)
-    root = _roots(len(node), i, j)
+    root = local_roots(len(node), i, j)
     linked = np.flatnonzero((links > 0) | (root != np.arange(len(node))))
     return pa.table({"node": node[linked], "links": links[linked], "other": node[root[linked]]})
 

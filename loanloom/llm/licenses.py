@@ -69,9 +69,9 @@ apache-1.0 | apache | apache (?:software )?licen[cs]e(?: version)? v?1 0
 gpl | gnu | gnu general public licen[cs]e
 gpl | gpl | (?:under|with) (?:the )?(?:terms of the )?(?:gnu )?gpl
 gpl | gplv | gplv[123]
-gpl-1.0 | general | general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 1
-gpl-2.0 | general | general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2
-gpl-3.0 | general | general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
+gpl-1.0 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 1
+gpl-2.0 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2
+gpl-3.0 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
 gpl-2.0 | gpl | (?:gnu )?gpl(?: version)? v?2(?: 0)?
 gpl-3.0 | gpl | (?:gnu )?gpl(?: version)? v?3(?: 0)?
 gpl | franklin | free software foundation inc (?:\d+ )?franklin st
@@ -80,15 +80,15 @@ gpl | copyleft | this program is free software you can redistribute it and or mo
 gpl | redistribute | this program is free software you can redistribute it and or modify
 lgpl | lesser | (?:gnu )?lesser general public licen[cs]e
 lgpl | library | (?:gnu )?library general public licen[cs]e
-lgpl-2.0 | library | library general public licen[cs]e(?: as published by the free software foundation)? version 2
-lgpl-2.1 | lesser | lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2 1
-lgpl-3.0 | lesser | lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
-lgpl-2.1 | lgpl | lgpl(?: version)? v?2 1
-lgpl-3.0 | lgpl | lgpl(?: version)? v?3
+lgpl-2.0 | library | (?:gnu )?library general public licen[cs]e(?: as published by the free software foundation)? version 2
+lgpl-2.1 | lesser | (?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2 1
+lgpl-3.0 | lesser | (?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
+lgpl-2.1 | lgpl | (?:gnu )?lgpl(?: version)? v?2 1
+lgpl-3.0 | lgpl | (?:gnu )?lgpl(?: version)? v?3
 lgpl | lgpl | (?:gnu )?lgpl
 agpl | affero | (?:gnu )?affero general public licen[cs]e
-agpl-3.0 | affero | affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
-agpl-3.0 | agpl | agpl(?: version)? v?3
+agpl-3.0 | affero | (?:gnu )?affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
+agpl-3.0 | agpl | (?:gnu )?agpl(?: version)? v?3
 agpl | agpl | (?:gnu )?agpl
 gfdl | documentation | gnu free documentation licen[cs]e
 mpl-2.0 | mozilla | mozilla public licen[cs]e(?: version)? v? ?2(?: 0)?

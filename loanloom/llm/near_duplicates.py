@@ -2,10 +2,10 @@
 
 Signatures come from a Poisson process per shingle: its arrivals fall on random
 components until none can be earlier than what the document already has. Equal
-bands make candidates; a bucket is checked against its smallest member first,
-and only documents that this leaves in different components are compared
-further, so buckets of close copies cost as many comparisons as they have
-members. Every link is verified on the whole shingle sets.
+bands make candidates; a bucket is checked against its most central member
+first, and only buckets that this leaves in different components are compared
+further, in pairs of blocks within tasks, so buckets of close copies cost as many
+comparisons as they have members, and what is written stays linear. Every link is verified on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.components import components, joined_by
+from loanloom.llm.components import components, joined_by, local_roots
 from loanloom.llm.shared import stored
 from loanloom.llm.text import WORD_BYTES, Words, hashed_windows, mix, steps
 
@@ -28,6 +28,9 @@ BANDS = 25
 ROWS = 5
 #: Nodes whose keys are broadcast at most (24 bytes each); beyond it the join shuffles.
 BROADCAST_NODES = 500_000
+#: Members of a bucket that one block holds, and shingles compared at once.
+BLOCK = 256
+COLUMNS = 4096
 
 
 def _uniform(bits: np.ndarray) -> np.ndarray:
@@ -118,6 +121,34 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.filter(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
+def _compare(table: pa.Table, similarity: float) -> pa.Table:
+    """Links between members of different components within some members of a bucket, as stars."""
+    table = table.combine_chunks()
+    node, root = table["node"].to_numpy(), table["root"].to_numpy()
+    lists = table["shingles"].combine_chunks()
+    offsets = lists.offsets.to_numpy()
+    size = np.diff(offsets)
+    n = node.size
+    values, column, counts = np.unique(lists.values.to_numpy()[offsets[0] : offsets[-1]], return_inverse=True, return_counts=True)
+    shared = counts > 1  # the others are in no intersection
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    column, row = number[column[keep]], np.repeat(np.arange(n), size)[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    both = np.zeros((n, n), dtype=np.float32)
+    for a in range(0, int(shared.sum()), COLUMNS):
+        at = slice(*np.searchsorted(column, [a, a + COLUMNS]))
+        part = np.zeros((n, COLUMNS), dtype=np.float32)
+        part[row[at], column[at] - a] = 1
+        both += part @ part.T
+    linked = both >= similarity * (size[:, None] + size[None, :] - both.astype(np.float64))
+    i, j = np.nonzero(np.triu(linked & (root[:, None] != root[None, :]), 1))
+    head = local_roots(n, i, j)
+    found = np.flatnonzero(head != np.arange(n))
+    return pa.table({"a": node[found], "b": node[head[found]]})
+
+
 def _signed(docs: DataFrame, keep: list[str], weighted: bool) -> DataFrame:
     """``keep``, ``__class`` (a digest of the text) and ``__bands`` of every document."""
     slim = docs.select(*keep, F.unhex(F.md5("text")).alias("__class"), F.col("text").alias("__text"))
@@ -129,10 +160,14 @@ def _signed(docs: DataFrame, keep: list[str], weighted: bool) -> DataFrame:
 def _links(docs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """``u, v`` as of `components`, over classes of equal texts."""
     exploded = classes.select("node", F.explode("bands").alias("bucket"))
-    heads = exploded.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("n"))
-    heads = stored(heads.filter("head <> last"), "buckets")
-    members = stored(exploded.join(heads.select("bucket", "head", "n"), "bucket"), "members")
-    tried = stored(members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    wide = exploded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(exploded.join(stored(wide, "buckets"), "bucket"), "members")
+    # The head of a bucket is its member that meets most others in all its buckets: what copies were made from.
+    met = stored(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
+    heads = members.join(met, "node").groupBy("bucket").agg(F.max_by("node", "met").alias("head"))
+    starred = members.join(stored(heads, "heads"), "bucket").filter("node <> head")
+    tried = starred.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
+    tried = stored(tried, "pairs")
 
     nodes = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
     wanted = stored(classes.select("node", "class", "first_id").join(nodes, "node", "left_semi"), "wanted")
@@ -145,34 +180,19 @@ def _links(docs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
         sets = stored(sets.dropDuplicates(["node"]), "shingle-sets")
 
     found = components(verified(tried, sets, similarity))
-    # Buckets that still hold several components: compare members of higher level (rarer by a
-    # half each) with all others first; every pair across components is compared in the end.
-    level = F.length(F.regexp_extract(F.conv(F.pmod(F.xxhash64("node"), F.lit(1 << 40)), 10, 2), "0*$", 0))
-    wide = members.filter("n > 2").withColumn("level", level)
-    mixed = None
-    for low, high in ((8, 99), (5, 8), (3, 5), (1, 3), (0, 1)):
-        if mixed is None:
-            rooted = wide.join(found.withColumnRenamed("u", "node"), "node", "left")
-            rooted = rooted.select("bucket", "node", "level", F.coalesce("v", "node").alias("root"))
-            mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c"))
-            mixed = stored(mixed.filter("x <> y").select("bucket", "c"), "mixed")
-            total, squares = mixed.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0))).first()
-            open_ = stored(rooted.join(mixed.select("bucket"), "bucket"), "open") if total else None
-        if not total:
-            break
-        at_once = squares <= 16 * total
-        leaders = open_ if at_once else open_.filter((F.col("level") >= low) & (F.col("level") < high))
-        leaders = leaders.select("bucket", F.col("node").alias("l"), F.col("root").alias("lr"))
-        pairs = leaders.join(open_, "bucket").filter("root <> lr")
-        pairs = pairs.select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b")).distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            tried = tried.unionByName(pairs)
-            new = stored(verified(pairs, sets, similarity), "links")
-            if not new.isEmpty():
-                found, mixed = joined_by(found, new), None
-        if at_once:
-            break
+    # Buckets that still hold several components: all their members are compared, block by block.
+    rooted = members.filter("n > 2").join(found.withColumnRenamed("u", "node"), "node", "left")
+    rooted = rooted.select("bucket", "node", "n", F.coalesce("v", "node").alias("root"))
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    open_ = stored(rooted.join(stored(mixed.select("bucket"), "mixed"), "bucket"), "open")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    spread = open_.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    spread = spread.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1))).filter("n <= %d OR block <> with" % BLOCK)
+    pairs = spread.select("bucket", "node", "root", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
+    pairs = pairs.join(sets, "node").groupBy("bucket", "lo", "hi")
+    more = stored(pairs.applyInArrow(lambda t: _compare(t, similarity), "a long, b long"), "links")
+    if not more.isEmpty():
+        found = joined_by(found, more)
     return found
 
 
