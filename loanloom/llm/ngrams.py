@@ -27,7 +27,7 @@ from loanloom.session import scratch_path
 
 #: Counts up to this one are discounted.
 CUTOFF = 5
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Ids that are no words: the end of a text, and the history of its first word.
 END, START = 0, 1
 FIRST_WORD = 2
