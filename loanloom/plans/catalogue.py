@@ -285,8 +285,7 @@ def append_idempotent_fraud(v):
 def write_partitioned(v):
     root = scratch_path(v.spark, "write-partitioned")
     layers.write_partitioned(v.perf, root, "mart.fact_loan_performance")
-    written = layers.read_layer(v.spark, root, "mart.fact_loan_performance", AS_OF, "snapshot_date")
-    return written.select("loan_id", "product_type", "delinquency_bucket", "outstanding_amount", "snapshot_date")
+    return layers.read_table(v.spark, root, "mart.fact_loan_performance").select("loan_id", "product_type", "delinquency_bucket", "outstanding_amount", "snapshot_date")
 
 
 @query
@@ -446,9 +445,10 @@ def discount_factor(v):
 @query
 def divergence(v):
     return _rounded(
-        reconciliation.pit_vs_ttc(v.pit, v.ttc, v.macro_scenario, AS_OF)
-        .filter(F.col("parameter_type") == "PD")
-        .select("loan_id", "horizon_type", "pit_value", "ttc_value", "absolute_divergence", "divergence_flag"),
+        reconciliation.pit_vs_ttc(v.pit, v.ttc, v.macro_scenario, AS_OF).select(
+            "loan_id", "parameter_type", "horizon_type", "pit_value", "ttc_value", "absolute_divergence",
+            "divergence_flag",
+        ),
         6, "absolute_divergence",
     )
 

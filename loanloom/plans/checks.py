@@ -72,21 +72,28 @@ CHECK_VIEWS: dict[str, str] = {
         SELECT *, round(raw_score, 3) AS match_score,
                CASE WHEN raw_score >= 0.92e0 THEN 'AUTO_MATCH' WHEN raw_score >= 0.8e0 THEN 'MANUAL_REVIEW'
                     ELSE 'NO_MATCH' END AS match_decision FROM o_aml_raw""",
+    # All vendors' answers one below the other; rows without an application are on their own.
+    "o_answer": """
+        SELECT source, coalesce(application_id, source || row_number() OVER ()) AS key, columns(* EXCLUDE (source)) FROM (
+          SELECT 'aecb' AS source, * FROM o_bureau UNION ALL BY NAME
+          SELECT 'fraud' AS source, * FROM o_fraud UNION ALL BY NAME
+          SELECT 'aml' AS source, * FROM o_aml) answers""",
+    "o_open": f"""
+        SELECT key, any_value(application_id) AS application_id,
+               list_filter(['aecb', 'fraud', 'aml'], lambda s: NOT list_contains(list(if(application_id IS NULL, '', source)), s)) AS waiting
+        FROM o_answer GROUP BY key HAVING bool_or(batch_date = {D})""",
     "o_request": f"""
-        SELECT application_id,
+        SELECT k.application_id,
                coalesce(a.internal_uuid, f.internal_uuid, m.internal_uuid) AS internal_uuid,
                CAST(coalesce(a.aecb_report_date, f.fraud_scored_at, m.aml_screened_at) AS DATE) AS application_date,
                a.aecb_score, a.aecb_band, a.total_outstanding, a.identity_validation_status AS aecb_identity_status,
                f.fraud_score, f.risk_band, f.identity_validation_status AS fraud_identity_status,
                m.aml_status, m.pep_flag, m.match_score, m.match_decision AS aml_match_decision,
-               a.emirates_id, a.dob, a.aecb_report_date,
-               concat_ws(',', CASE WHEN a.application_id IS NULL THEN 'aecb' END,
-                              CASE WHEN f.application_id IS NULL THEN 'fraud' END,
-                              CASE WHEN m.application_id IS NULL THEN 'aml' END) AS pending_sources,
-               {D} AS batch_date
-        FROM o_bureau a FULL OUTER JOIN o_fraud f USING (application_id)
-        FULL OUTER JOIN o_aml m USING (application_id)
-        WHERE a.batch_date = {D} OR f.batch_date = {D} OR m.batch_date = {D}""",
+               a.emirates_id, a.dob, a.aecb_report_date, array_to_string(k.waiting, ',') AS pending_sources, {D} AS batch_date
+        FROM o_open k LEFT JOIN o_answer a ON a.source = 'aecb' AND a.key = k.key
+        LEFT JOIN o_answer f ON f.source = 'fraud' AND f.key = k.key
+        LEFT JOIN o_answer m ON m.source = 'aml' AND m.key = k.key
+        WHERE {D} IN (a.batch_date, f.batch_date, m.batch_date)""",
     "o_flags": f"""
         SELECT *, coalesce(length(internal_uuid) > 0, false) AS passes_uuid_present,
                coalesce(regexp_matches(emirates_id, '^784-[0-9]{{4}}-[0-9]{{7}}-[0-9]$'), false) AS passes_emirates_id_format,
@@ -196,51 +203,50 @@ CHECK_VIEWS: dict[str, str] = {
         FROM pit p JOIN macro_scenario ms ON ms.scenario_id = p.scenario_id AND ms.reporting_date = p.reporting_date
         WHERE p.reporting_date = {D}""",
     "o_stage_now": f"SELECT loan_id, current_stage, stage_history_id FROM stage_history WHERE reporting_date = {D}",
-    "o_pd": "SELECT * FROM o_value WHERE parameter_type = 'PD'",
-    "o_lgd": "SELECT * FROM o_value WHERE parameter_type = 'LGD' AND period_number IS NULL",
-    "o_ead": "SELECT * FROM o_value WHERE parameter_type = 'EAD' AND period_number IS NULL",
-    "o_ead_period": "SELECT * FROM o_value WHERE parameter_type = 'EAD' AND period_number IS NOT NULL",
+    # Every parameter in a column: one row per loan and scenario, and one per period.
+    "o_point": """
+        SELECT loan_id, scenario_id, scenario_name, w,
+               max(v) FILTER (kind = 'PD') AS pd, max(parameter_id) FILTER (kind = 'PD') AS pd_id,
+               max(v) FILTER (kind = 'LGD') AS lgd, max(parameter_id) FILTER (kind = 'LGD') AS lgd_id,
+               max(v) FILTER (kind = 'EAD') AS ead, max(parameter_id) FILTER (kind = 'EAD') AS ead_id
+        FROM (SELECT *, CASE WHEN parameter_type = 'PD' AND horizon_type = '12_MONTH' THEN 'PD'
+                             WHEN parameter_type <> 'PD' AND period_number IS NULL THEN parameter_type END AS kind FROM o_value) x
+        GROUP BY ALL""",
+    "o_by_period": """
+        SELECT loan_id, scenario_id, period_number,
+               max(v) FILTER (parameter_type = 'PD' AND horizon_type = 'LIFETIME') AS pd,
+               max(v) FILTER (parameter_type = 'EAD') AS ead
+        FROM o_value WHERE period_number IS NOT NULL GROUP BY ALL""",
     "o_stage1": """
-        SELECT l.loan_id, l.current_stage, l.stage_history_id, pd.scenario_id, pd.scenario_name, pd.w,
-               pd.v AS pd_used, lgd.v AS lgd_used, ead.v AS ead_used, pd.v * lgd.v * ead.v AS ecl, pd.v * lgd.v * ead.v AS gross,
-               pd.parameter_id AS pd_id, lgd.parameter_id AS lgd_id, ead.parameter_id AS ead_id
-        FROM o_stage_now l JOIN o_pd pd ON pd.loan_id = l.loan_id AND pd.horizon_type = '12_MONTH'
-        JOIN o_lgd lgd ON lgd.loan_id = l.loan_id AND lgd.scenario_id = pd.scenario_id
-        JOIN o_ead ead ON ead.loan_id = l.loan_id AND ead.scenario_id = pd.scenario_id
-        WHERE l.current_stage = 1""",
+        SELECT loan_id, current_stage, stage_history_id, scenario_id, scenario_name, w,
+               pd AS pd_used, lgd AS lgd_used, ead AS ead_used, pd * lgd * ead AS ecl, pd * lgd * ead AS gross, pd_id, lgd_id, ead_id
+        FROM o_point SEMI JOIN (SELECT loan_id FROM o_stage_now WHERE current_stage = 1) USING (loan_id)
+        JOIN o_stage_now USING (loan_id) WHERE pd * lgd * ead IS NOT NULL""",
     "o_periods": """
-        SELECT l.loan_id, l.current_stage, l.stage_history_id, pd.scenario_id, pd.scenario_name, pd.w, pd.period_number,
-               pd.v AS marginal_pd, lgd.v AS lgd_used, coalesce(per.v, ead.v) AS ead_this_period, ead.v AS point_ead,
-               pd.v * lgd.v * coalesce(per.v, ead.v) AS shortfall,
-               power(1 + CAST(t.effective_interest_rate AS DOUBLE), -pd.period_number) AS factor,
-               lgd.parameter_id AS lgd_id, ead.parameter_id AS ead_id
-        FROM o_stage_now l JOIN o_pd pd ON pd.loan_id = l.loan_id AND pd.horizon_type = 'LIFETIME'
-        JOIN o_lgd lgd ON lgd.loan_id = l.loan_id AND lgd.scenario_id = pd.scenario_id
-        JOIN o_ead ead ON ead.loan_id = l.loan_id AND ead.scenario_id = pd.scenario_id
-        LEFT JOIN o_ead_period per ON per.loan_id = l.loan_id AND per.scenario_id = pd.scenario_id
-          AND per.period_number = pd.period_number
-        JOIN loan_terms t ON t.loan_id = l.loan_id
-        WHERE l.current_stage = 2""",
+        SELECT loan_id, current_stage, stage_history_id, scenario_id, scenario_name, w, period_number,
+               b.pd AS marginal_pd, q.lgd AS lgd_used, coalesce(b.ead, q.ead) AS ead_this_period, q.ead AS point_ead,
+               b.pd * q.lgd * coalesce(b.ead, q.ead) AS shortfall,
+               power(1 + CAST(effective_interest_rate AS DOUBLE), -period_number) AS factor, lgd_id, ead_id
+        FROM o_by_period b JOIN o_point q USING (loan_id, scenario_id)
+        JOIN (SELECT * FROM o_stage_now WHERE current_stage = 2) h USING (loan_id)
+        JOIN loan_terms USING (loan_id)
+        WHERE b.pd IS NOT NULL AND q.lgd IS NOT NULL AND q.ead IS NOT NULL""",
     "o_stage2": """
         SELECT loan_id, current_stage, stage_history_id, scenario_id, scenario_name, w, CAST(NULL AS DOUBLE) AS pd_used,
                max(lgd_used) AS lgd_used, max(point_ead) AS ead_used, sum(shortfall * factor) AS ecl, sum(shortfall) AS gross,
                CAST(NULL AS VARCHAR) AS pd_id, max(lgd_id) AS lgd_id, max(ead_id) AS ead_id
         FROM o_periods GROUP BY ALL""",
     "o_stage3": """
-        SELECT l.loan_id, l.current_stage, l.stage_history_id, lgd.scenario_id, lgd.scenario_name, lgd.w,
-               CAST(NULL AS DOUBLE) AS pd_used, lgd.v AS lgd_used, ead.v AS ead_used, lgd.v * ead.v AS ecl, lgd.v * ead.v AS gross,
-               CAST(NULL AS VARCHAR) AS pd_id, lgd.parameter_id AS lgd_id, ead.parameter_id AS ead_id
-        FROM o_stage_now l JOIN o_lgd lgd ON lgd.loan_id = l.loan_id
-        JOIN o_ead ead ON ead.loan_id = l.loan_id AND ead.scenario_id = lgd.scenario_id
-        WHERE l.current_stage = 3""",
+        SELECT loan_id, current_stage, stage_history_id, scenario_id, scenario_name, w, CAST(NULL AS DOUBLE) AS pd_used,
+               lgd AS lgd_used, ead AS ead_used, lgd * ead AS ecl, lgd * ead AS gross, CAST(NULL AS VARCHAR) AS pd_id, lgd_id, ead_id
+        FROM (SELECT * FROM o_stage_now WHERE current_stage = 3) h JOIN o_point USING (loan_id) WHERE lgd * ead IS NOT NULL""",
     "o_figures": "SELECT * FROM o_stage1 UNION ALL SELECT * FROM o_stage2 UNION ALL SELECT * FROM o_stage3",
     "o_weighted": f"""
-        SELECT loan_id, '{AS_OF}' AS reporting_date, current_stage AS stage,
-               {_r('sum(ecl * w)', 2)} AS probability_weighted_ecl,
-               {_r("max(CASE WHEN scenario_name = 'BASELINE' THEN ecl END)", 2)} AS baseline_ecl,
-               {_r("max(CASE WHEN scenario_name = 'ADVERSE' THEN ecl END)", 2)} AS adverse_ecl,
-               {_r("max(CASE WHEN scenario_name = 'SEVERE' THEN ecl END)", 2)} AS severe_ecl
-        FROM o_figures GROUP BY loan_id, current_stage""",
+        SELECT loan_id, '{AS_OF}' AS reporting_date, stage, {_r('weighted', 2)} AS probability_weighted_ecl,
+               {_r("by_name['BASELINE']", 2)} AS baseline_ecl, {_r("by_name['ADVERSE']", 2)} AS adverse_ecl,
+               {_r("by_name['SEVERE']", 2)} AS severe_ecl
+        FROM (SELECT loan_id, current_stage AS stage, sum(ecl * w) AS weighted, map_from_entries(list((scenario_name, ecl))) AS by_name
+              FROM o_figures GROUP BY ALL) x""",
     "o_calculation": f"""
         SELECT loan_id, scenario_id, false AS is_probability_weighted_result, current_stage, stage_history_id,
                CASE WHEN current_stage = 1 THEN '12_MONTH' ELSE 'LIFETIME' END AS ecl_horizon,
@@ -255,13 +261,12 @@ CHECK_VIEWS: dict[str, str] = {
         FROM o_figures f LEFT JOIN overlays o ON o.loan_id = f.loan_id
         GROUP BY f.loan_id, f.current_stage, f.stage_history_id""",
     "o_pairs": f"""
-        SELECT p.loan_id, p.reporting_date, p.parameter_type, p.horizon_type, p.period_number,
+        SELECT loan_id, reporting_date, parameter_type, horizon_type, p.period_number,
                CAST(p.parameter_value AS DOUBLE) AS pit_value, CAST(t.parameter_value AS DOUBLE) AS ttc_value
-        FROM pit p JOIN macro_scenario ms ON ms.scenario_id = p.scenario_id
-        JOIN ttc t ON t.loan_id = p.loan_id AND t.reporting_date = p.reporting_date
-          AND t.parameter_type = p.parameter_type AND t.horizon_type = p.horizon_type
-          AND coalesce(t.period_number, -1) = coalesce(p.period_number, -1)
-        WHERE p.reporting_date = {D} AND ms.scenario_name = 'BASELINE'""",
+        FROM (FROM pit WHERE reporting_date = {D}
+              AND scenario_id IN (SELECT scenario_id FROM macro_scenario WHERE scenario_name = 'BASELINE')) p
+        JOIN ttc t USING (loan_id, reporting_date, parameter_type, horizon_type)
+        WHERE p.period_number IS NOT DISTINCT FROM t.period_number""",
     "o_divergence": """
         SELECT *, pit_value - ttc_value AS absolute_divergence,
                100 * (pit_value - ttc_value) / nullif(ttc_value, 0) AS pct FROM o_pairs""",
@@ -319,15 +324,19 @@ _TRANSITION = """CASE WHEN previous_stage IS NULL THEN 'NEW_ORIGINATION' WHEN cu
     ELSE 'NO_CHANGE' END"""
 
 _PCT_OF_MONTH = f"""
-    SELECT product_type, {_day("date_trunc('month', decision_date)")} AS decision_month, decision_outcome,
-           count(*) AS decision_count,
-           {_r("100e0 * count(*) / sum(count(*)) OVER (PARTITION BY product_type, date_trunc('month', decision_date))", 2)} AS pct_of_month
-    FROM o_facts WHERE {_LAST_SIX_DATES} GROUP BY product_type, date_trunc('month', decision_date), decision_outcome"""
+    WITH counted AS (
+      SELECT product_type, strftime(decision_date, '%Y-%m-01') AS decision_month, decision_outcome, count(*) AS decision_count
+      FROM o_facts WHERE {_LAST_SIX_DATES} GROUP BY ALL
+    ), whole AS (SELECT product_type, decision_month, sum(decision_count) AS n FROM counted GROUP BY ALL)
+    SELECT counted.*, {_r('100e0 * decision_count / n', 2)} AS pct_of_month
+    FROM counted JOIN whole USING (product_type, decision_month)"""
 
 _DELINQUENCY = f"""
-    SELECT product_type, delinquency_bucket, count(*) AS loan_count,
-           {_r('100e0 * count(*) / sum(count(*)) OVER (PARTITION BY product_type)', 2)} AS pct_of_product
-    FROM o_month_end WHERE status = 'ACTIVE' GROUP BY product_type, delinquency_bucket"""
+    WITH counted AS (
+      SELECT product_type, delinquency_bucket, count(*) FILTER (status = 'ACTIVE') AS loan_count FROM o_month_end GROUP BY ALL
+    ), whole AS (SELECT product_type, sum(loan_count) AS n FROM counted GROUP BY ALL)
+    SELECT product_type, delinquency_bucket, loan_count, {_r('100e0 * loan_count / n', 2)} AS pct_of_product
+    FROM counted JOIN whole USING (product_type) WHERE loan_count > 0"""
 
 _EVALUATED = (
     "application_id, internal_uuid, aecb_score, duplicate_count_application_id, "
@@ -388,7 +397,7 @@ CHECKS: dict[str, str] = {
         FROM fraud_messages m JOIN (SELECT k, application_id FROM fraud_answers) a USING (k)
         WHERE fraud_scored_at >= TIMESTAMP '1998-01-01 00:00:00'""",
     "write_partitioned": f"""SELECT loan_id, product_type, delinquency_bucket, {_num('outstanding_amount')} AS outstanding_amount,
-        {_day('snapshot_date')} AS snapshot_date FROM o_perf WHERE snapshot_date = {D}""",
+        {_day('snapshot_date')} AS snapshot_date FROM o_perf""",
     "export_feature_snapshot": f"""SELECT DISTINCT application_id, internal_uuid, aecb_score, {_day('batch_date')} AS batch_date
         FROM bureau_answers WHERE application_id IS NOT NULL""",
     "dim_source": """SELECT d.*, n.scorecard_rows FROM (VALUES
@@ -418,7 +427,7 @@ CHECKS: dict[str, str] = {
         {_stamp('a.aml_screened_at')} AS aml_screened_at, '{AS_OF}' AS batch_date
         FROM o_aml a JOIN aml_callbacks c ON c.event_id = a.event_id""",
     "incremental_slice": f"""SELECT bronze_id, application_id, {_day('ingest_date')} AS ingest_date FROM bureau_raw
-        WHERE ingest_date >= {D} - 1
+        WHERE ingest_date BETWEEN {D} - 1 AND {D}
           AND bronze_id NOT IN (SELECT bronze_id FROM bureau_answers WHERE batch_date < {D} AND batch_date >= {D} - 1)""",
     "normalize_phone": f"SELECT application_id, phone, {_phone('phone')} AS phone_normalized FROM fraud_answers",
     "normalize_email": f"SELECT application_id, email, {_email('email')} AS email_normalized FROM fraud_answers",
@@ -446,8 +455,8 @@ CHECKS: dict[str, str] = {
     "decision_date": f"SELECT application_id, {_day('decided_at')} AS decision_date FROM decisions",
     "discount_factor": """SELECT loan_id, period_number, round(power(1 + CAST(effective_interest_rate AS DOUBLE), -period_number), 8) AS discount_factor
         FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS period_number FROM loan_terms) t""",
-    "divergence": f"""SELECT loan_id, horizon_type, pit_value, ttc_value, {_r('absolute_divergence', 6)} AS absolute_divergence, divergence_flag
-        FROM o_flagged WHERE parameter_type = 'PD'""",
+    "divergence": f"""SELECT loan_id, parameter_type, horizon_type, pit_value, ttc_value,
+        {_r('absolute_divergence', 6)} AS absolute_divergence, divergence_flag FROM o_flagged""",
     **{
         f"rule_{r.name}": f"SELECT application_id, internal_uuid, aecb_score, passes_{r.name} FROM o_evaluated"
         for r in MUST_PASS_RULES
@@ -502,18 +511,17 @@ CHECKS: dict[str, str] = {
         {_num('sum(outstanding_amount)')} AS total_outstanding, {_r('avg(outstanding_amount)', 2)} AS avg_outstanding
         FROM o_month_end GROUP BY product_type, snapshot_date, status""",
     "delinquency_distribution": _DELINQUENCY,
-    "vintage_analysis": f"""SELECT {_day("date_trunc('month', lp.decision_date)")} AS origination_cohort, lp.months_on_book,
-        lp.delinquency_bucket, count(*) AS loan_count, {_num('sum(lp.outstanding_amount)')} AS cohort_outstanding
-        FROM o_month_end lp JOIN o_facts f ON f.application_id = lp.application_id
-        GROUP BY date_trunc('month', lp.decision_date), lp.months_on_book, lp.delinquency_bucket""",
+    "vintage_analysis": f"""SELECT strftime(decision_date, '%Y-%m-01') AS origination_cohort, months_on_book,
+        delinquency_bucket, count(*) AS loan_count, {_num('sum(outstanding_amount)')} AS cohort_outstanding
+        FROM o_month_end SEMI JOIN o_facts USING (application_id) GROUP BY ALL""",
     "volume_vs_capacity": f"""SELECT {_day('decision_date')} AS decision_date, count(*) AS decisions_made, 10000 AS launch_capacity_target,
         {_r('100e0 * count(*) / 10000', 1)} AS pct_of_launch_capacity FROM o_facts WHERE decision_date >= {D} - 30 GROUP BY decision_date""",
     "dq_trend": f"""SELECT source_system, {_day('batch_date')} AS batch_date, {_r('avg(score)', 4)} AS avg_dq_score FROM scorecard_rows
         WHERE batch_date >= DATE '{DQ_AS_OF}' - 30 GROUP BY source_system, batch_date""",
     "dq_scorecard_summary": f"""SELECT source_system, {_day('batch_date')} AS batch_date,
-        {_r("sum(CASE WHEN rule_tier = 'MUST_PASS' THEN score * 2 ELSE score END)"
-            " / sum(CASE WHEN rule_tier = 'MUST_PASS' THEN 2 ELSE 1 END)", 4)} AS composite_score
-        FROM scorecard_rows GROUP BY source_system, batch_date""",
+        {_r('sum(score * weight) / sum(weight)', 4)} AS composite_score
+        FROM scorecard_rows JOIN (VALUES ('MUST_PASS', 2), ('WARNING', 1)) tiers(rule_tier, weight) USING (rule_tier)
+        GROUP BY source_system, batch_date""",
     "scenario_pivot": "SELECT loan_id, baseline_ecl, adverse_ecl, severe_ecl FROM o_weighted",
     "probability_weighted_ecl": "SELECT loan_id, stage, probability_weighted_ecl FROM o_weighted",
     "stage2_lifetime_ecl": f"SELECT loan_id, scenario_name, {_r('ecl', 2)} AS scenario_ecl FROM o_stage2",

@@ -10,7 +10,17 @@ from loanloom.operators.gold import build_lending_applications, decision_input_o
 from loanloom.operators.rules import blocked_count, evaluate_must_pass
 from loanloom.operators.scorecard import build_dq_scorecard, must_pass_rows, warning_rows
 from loanloom.operators.warnings import warn_duplicate_rate, warn_source_completeness
-from loanloom.sources.layers import export_feature_snapshot, read_layer, read_table, table_path, write_partitioned
+from loanloom.sources.layers import (
+    export_feature_snapshot,
+    has_table,
+    merge_partitioned,
+    on_day,
+    read_layer,
+    read_table,
+    table_path,
+    write_partitioned,
+)
+from loanloom.streaming.serving import merge_latest, serving_latest
 
 REQUIRED = ("internal_uuid", "emirates_id", "dob", "aecb_score", "fraud_score", "aml_status")
 
@@ -25,27 +35,44 @@ def run_gold(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     evaluated = evaluate_must_pass(silver, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_partitioned(
-            decision_input_of(evaluated, as_of), root, "gold.lending_application_request", mode="replay"
+            decision_input_of(evaluated, as_of), root, "gold.lending_application_request", mode="replay", as_of=as_of
         )
         metrics = warn_source_completeness(evaluated, REQUIRED).unionByName(warn_duplicate_rate(evaluated))
         scorecard = build_dq_scorecard(
             must_pass_rows(evaluated, F.lit("internal")), warning_rows(metrics, "internal", as_of)
         )
-        write_partitioned(scorecard, root, "gold.dq_scorecard", mode="replay")
+        write_partitioned(scorecard, root, "gold.dq_scorecard", mode="replay", as_of=as_of)
         counts = blocked_count(evaluated).first()
     finally:
         evaluated.unpersist()
-    assembled = read_layer(spark, root, "gold.lending_application_request", as_of)
-    export_feature_snapshot(assembled).write.mode("overwrite").parquet(table_path(root, "serving.decision_input"))
+    refresh_serving(spark, root, as_of)
     return spark.createDataFrame([counts])
 
 
+def refresh_serving(spark: SparkSession, root: str, as_of: str) -> None:
+    """Bring the serving copy up to the day's decidable applications.
+
+    Applications of other days stay. One that an earlier run of the same day had
+    passed and this one blocks goes back to its latest earlier row, or out.
+    """
+    path, keys, order = table_path(root, "serving.decision_input"), ["application_id"], ["batch_date", "assembled_at"]
+    gold = read_table(spark, root, "gold.lending_application_request")
+    fresh = export_feature_snapshot(on_day(gold, as_of))
+    withdrawn = None
+    if has_table(spark, root, "serving.decision_input"):
+        served = on_day(serving_latest(spark, path, fresh.schema), as_of)
+        withdrawn = served.select(*keys).join(fresh.select(*keys), keys, "left_anti")
+        earlier = gold.filter(F.col("batch_date") < F.lit(as_of).cast("date")).join(withdrawn, keys, "left_semi")
+        fresh = fresh.unionByName(export_feature_snapshot(earlier))
+    merge_latest(fresh, path, keys, order, withdrawn=withdrawn)
+
+
 def run_decisions(spark: SparkSession, root: str, as_of: str) -> None:
-    """Join the day's verdicts to their inputs."""
+    """Join the day's verdicts to their inputs, beside the facts of other days."""
     facts = build_lending_applications(
         read_table(spark, root, "gold.lending_application_request"),
         read_table(spark, root, "gold.lending_application_response"),
         spark.read.parquet(table_path(root, "mart.dim_product")),
         as_of,
     )
-    write_partitioned(facts, root, "gold.lending_applications", mode="replay")
+    merge_partitioned(facts, root, "gold.lending_applications", ["application_id"])

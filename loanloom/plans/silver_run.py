@@ -47,16 +47,16 @@ def run_silver(spark: SparkSession, root: str, as_of: str) -> None:
             "aml": conform_scored_aml(scored, as_of),
         }
         for source, rows in conformed.items():
-            write_partitioned(rows, root, f"silver.{source}_conformed", mode="replay")
+            write_partitioned(rows, root, f"silver.{source}_conformed", mode="replay", as_of=as_of)
         audit = union_match_audit(
             audit_aecb(join_profile(parse_bureau(landed["aecb"]), profile), as_of),
             audit_fraud(join_profile(parse_fraud(landed["fraud"]), profile), as_of),
             audit_aml(scored, as_of),
         )
-        write_partitioned(audit, root, "silver.match_audit", mode="replay")
+        write_partitioned(audit, root, "silver.match_audit", mode="replay", as_of=as_of)
     finally:
         scored.unpersist()
 
     sides = [read_table(spark, root, f"silver.{source}_conformed") for source in VENDORS]
     request = assemble_application_request(*sides, as_of)
-    write_partitioned(request, root, "silver.lending_application_request", mode="replay")
+    write_partitioned(request, root, "silver.lending_application_request", mode="replay", as_of=as_of)

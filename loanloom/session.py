@@ -53,9 +53,17 @@ def _local_scratch() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage every executor can reach, so tables
-    written below it survive a lost executor. Only where it is unset (a bare
-    local session) a temporary folder is made instead.
+    ``spark.checkpoint.dir`` (or the folder given to ``setCheckpointDir``) names
+    storage every executor can reach, so tables written below it survive a lost
+    executor. Where neither is set, only a session whose executors are threads of
+    this process gets a temporary folder; a cluster must name a shared one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = held.get() if held.isDefined() else None
+    if not root and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+        root = _local_scratch()
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/loanloom/{label}-{uuid.uuid4().hex}"

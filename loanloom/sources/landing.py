@@ -20,10 +20,10 @@ SCHEMA_VERSION = "1.0"
 # stays: the bureau's files are identical, the fraud queue overwrites, the AML
 # callback that came first wins on whatever day it is repeated.
 IDEMPOTENCY = {
-    "aecb": (("ingest_date", "application_id", "content_key"), "first"),
-    "fraud": (("ingest_date", "application_id", "source_event_id"), "last"),
-    "aml": (("source_event_id",), "first"),
-    "internal": (("source_event_id",), "first"),
+    "aecb": (("ingest_date", "application_id", "content_hash"), "first"),
+    "fraud": (("ingest_date", "application_id", "event_key"), "last"),
+    "aml": (("event_key",), "first"),
+    "internal": (("event_key",), "first"),
 }
 
 _REPORT_HEAD = "_reportId STRING, _generatedAt STRING, Subject STRUCT<EmiratesId: STRING>"
@@ -66,10 +66,20 @@ def bronze_envelope(df: DataFrame, source: str) -> DataFrame:
 def explode_bureau_batch(files: DataFrame, tag: str = "Report") -> DataFrame:
     """One row per report of a landed file; ``value`` is the report's exact text.
 
-    A file with one report (or none that can be told apart) stays whole.
+    A file that is one report, or in which none can be told apart, stays whole.
+    What a wrapper holds beside whole reports (a report that was cut off, say) is
+    a row of its own, so no text is lost; correlation finds no id in it.
     """
-    reports = F.regexp_extract_all("value", F.lit(rf"(?s)<{tag}[\s>].*?</{tag}>"), F.lit(0))
-    parts = F.when(F.size(reports) > 1, reports).otherwise(F.array("value"))
+    whole = rf"(?s)<{tag}[\s>].*?</{tag}>"
+    reports = F.regexp_extract_all("value", F.lit(whole), F.lit(0))
+    around = F.regexp_replace(F.regexp_replace("value", whole, ""), r"(?s)<\?.*?\?>|<!--.*?-->", "")
+    around = F.regexp_replace(around, r"^\s+|\s+$", "")
+    wrapper = around.rlike(r"^<(\w+)[^<>]*>\s*</\1>$")
+    parts = (
+        F.when((F.size(reports) == 0) | (F.size(reports) == 1) & (around == ""), F.array("value"))
+        .when(wrapper | (around == ""), reports)
+        .otherwise(F.concat(reports, F.array(around)))
+    )
     others = [c for c in files.columns if c != "value"]
     return files.select(*others, F.posexplode(parts).alias("report_position", "value"))
 
@@ -127,9 +137,10 @@ def ingest_fraud_messages(messages: DataFrame, received_at: Column | None = None
     """Queue messages (``value``) to envelope input.
 
     A response without its own id gets one derived from the message, and one
-    without a time stamp takes the capture time.
+    without a time stamp takes the capture time. Text without a payload is kept
+    as it came.
     """
-    payload = F.get_json_object("value", "$.payload")
+    payload = F.coalesce(F.get_json_object("value", "$.payload"), F.col("value"))
     parsed = messages.withColumns({"m": F.from_json("value", _FRAUD_MESSAGE), "raw_payload": payload}).withColumn(
         "p", F.from_json("raw_payload", _FRAUD_HEAD)
     )
@@ -197,7 +208,8 @@ def parse_profile(current: DataFrame) -> DataFrame:
 
 def exception_reason(correlated: DataFrame, missing: str, key: str) -> Column:
     """Why a record could not be attributed; NULL if it could."""
-    return F.when(F.col(key).isNull(), "MALFORMED").when(F.col("internal_uuid").isNull(), missing)
+    malformed = F.col(key).isNull() | F.col("source_event_id").isNull()
+    return F.when(malformed, "MALFORMED").when(F.col("internal_uuid").isNull(), missing)
 
 
 def split_unmatched(correlated: DataFrame, missing: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -206,16 +218,24 @@ def split_unmatched(correlated: DataFrame, missing: str, key: str) -> tuple[Data
     ``missing`` is the reason of a failed lookup (``UNMATCHED`` for the bureau,
     ``CONTEXT_NOT_FOUND`` for AML); a record without ``key`` is ``MALFORMED``.
     """
-    tagged = correlated.withColumn("exception_reason", exception_reason(correlated, missing, key))
+    return _split(correlated.withColumn("exception_reason", exception_reason(correlated, missing, key)))
+
+
+def split_malformed(parsed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Records of a source that brings its ids along, and those without ``key``."""
+    return _split(parsed.withColumn("exception_reason", F.when(F.col(key).isNull(), "MALFORMED")))
+
+
+def _split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (
         tagged.filter(F.col("exception_reason").isNull()).drop("exception_reason"),
         tagged.filter(F.col("exception_reason").isNotNull()),
     )
 
 
-def _with_content_key(envelope: DataFrame) -> DataFrame:
-    """The first twelve hex digits of the content hash, part of the bureau's key."""
-    return envelope.withColumn("content_key", F.substring("content_hash", 8, 12))
+def with_event_key(envelope: DataFrame) -> DataFrame:
+    """The vendor's event id, or the content where it sent none: such rows are not one event."""
+    return envelope.withColumn("event_key", F.coalesce("source_event_id", "content_hash"))
 
 
 def dedupe_batch(envelope: DataFrame, source: str) -> DataFrame:
@@ -223,14 +243,14 @@ def dedupe_batch(envelope: DataFrame, source: str) -> DataFrame:
     keys, keep = IDEMPOTENCY[source]
     pick = first_per_key if keep == "first" else latest_per_key
     order = ["received_at", "source_generated_at", "bronze_id"]
-    return pick(_with_content_key(envelope), keys, order).select(*envelope.columns)
+    return pick(with_event_key(envelope), keys, order).select(*envelope.columns)
 
 
 def append_idempotent(envelope: DataFrame, existing: DataFrame, source: str) -> DataFrame:
     """The rows of ``envelope`` that are new with respect to ``existing``."""
     keys, _ = IDEMPOTENCY[source]
-    seen = _with_content_key(existing).select(*keys)
-    fresh = _with_content_key(dedupe_batch(envelope, source))
+    seen = with_event_key(existing).select(*keys)
+    fresh = with_event_key(dedupe_batch(envelope, source))
     return fresh.join(seen, list(keys), "left_anti").select(*envelope.columns)
 
 

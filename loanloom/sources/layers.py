@@ -39,14 +39,16 @@ def read_layer(spark: SparkSession, root: str, table: str, as_of: str, column: s
 
 
 def incremental_slice(bronze: DataFrame, as_of: str, done: DataFrame | None = None) -> DataFrame:
-    """Bronze rows that landed since the day before ``as_of`` and are not conformed yet.
+    """Bronze rows that landed on ``as_of`` or the day before and are not conformed yet.
 
-    The day-before overlap re-reads yesterday, so rows found in ``done`` go. A
+    What landed later belongs to later runs, so a rerun takes the same rows. The
+    day-before overlap re-reads yesterday, so rows found in ``done`` go. A
     row of the slice can only have been conformed in a run of the same two days:
     only those partitions of ``done`` are read.
     """
-    since = F.date_sub(F.lit(as_of).cast("date"), 1)
-    landed = bronze.filter(F.col("ingest_date") >= since)
+    day = F.lit(as_of).cast("date")
+    since = F.date_sub(day, 1)
+    landed = bronze.filter(F.col("ingest_date").between(since, day))
     if done is None:
         return landed
     recent = done.filter(F.col("batch_date") >= since).select("bronze_id")
@@ -59,20 +61,46 @@ def write_partitioned(
     table: str,
     partition_by: Sequence[str] | None = None,
     mode: str = "append",
+    as_of: str | None = None,
 ) -> None:
     """Write under the table's partition columns.
 
     ``mode="replay"`` replaces exactly the partitions that ``df`` touches, so a
-    rerun of a day is safe. AQE rebalances the rows by partition first: few
-    files per day, and a day that holds most rows is still split over tasks.
+    rerun of a day is safe; with ``as_of`` the day's partition is replaced even by
+    an empty result. AQE rebalances the rows by partition first: few files per
+    day, and a day that holds most rows is still split over tasks.
     """
     columns = list(partition_by or PARTITION_COLUMNS[table])
+    day = f"{table_path(root, table)}/{columns[0]}={as_of}" if mode == "replay" and as_of is not None else None
+    before = _files(df.sparkSession, day) if day else set()
     writer = conform(df, table).hint("rebalance", *columns).write.partitionBy(*columns)
     if mode == "replay":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode(mode)
     writer.parquet(table_path(root, table))
+    if day and before & _files(df.sparkSession, day):
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(day)  # no row replaced it
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in system.listStatus(path)} if system.exists(path) else set()
+
+
+def merge_partitioned(df: DataFrame, root: str, table: str, keys: Sequence[str]) -> None:
+    """Put rows over those of the same key, keeping all others of the partitions they fall in.
+
+    For tables that are not partitioned by run date: a partition holds rows of
+    several runs, and a replay must not take the other runs' rows away.
+    """
+    columns = list(PARTITION_COLUMNS[table])
+    rows = conform(df, table)
+    held = read_table(df.sparkSession, root, table).join(rows.select(*columns).distinct(), columns, "left_semi")
+    kept = held.join(rows.select(*keys).distinct(), list(keys), "left_anti").select(*rows.columns)
+    write_partitioned(rows.unionByName(kept), root, table, mode="replay")
 
 
 def export_feature_snapshot(assembled: DataFrame, keys: Sequence[str] = ("application_id",)) -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from loanloom.schemas import conform
 from loanloom.sources.landing import (
     IDEMPOTENCY,
-    _with_content_key,
     append_idempotent,
     bronze_envelope,
     correlate_context,
@@ -28,7 +27,9 @@ from loanloom.sources.landing import (
     ingest_fraud_messages,
     ingest_profile_cdc,
     replace_by_key,
+    split_malformed,
     split_unmatched,
+    with_event_key,
 )
 from loanloom.sources.layers import has_table, read_table, table_path, write_partitioned
 
@@ -70,23 +71,24 @@ def parse_payloads(batch: DataFrame, source: str) -> DataFrame:
         return ingest_aml_callbacks(batch, arrived)
     if source == "fraud":
         return ingest_fraud_messages(batch, arrived)
-    changes = batch.select(F.from_json("value", CDC_EVENT).alias("e"), arrived.alias("received_at"))
-    return ingest_profile_cdc(changes.select("e.*", "received_at"))
+    changes = batch.select("value", F.from_json("value", CDC_EVENT).alias("e"), arrived.alias("received_at"))
+    kept = changes.select("e.*", "received_at", "value").withColumn("raw_payload", F.coalesce("raw_payload", "value"))
+    return ingest_profile_cdc(kept.drop("value"))
 
 
 def attribute(
     parsed: DataFrame, source: str, lookup_side: DataFrame | None, few: bool = False
-) -> tuple[DataFrame, DataFrame | None]:
+) -> tuple[DataFrame, DataFrame]:
     """Records with their application and customer, and the exceptions.
 
     ``lookup_side`` is the request log (bureau) or application context (AML);
-    the other two sources bring both ids along.
+    the other two sources bring both ids along, or are malformed.
     """
     if source == "aecb":
         return split_unmatched(correlate_requests(parsed, lookup_side, few), "UNMATCHED", "emirates_id")
     if source == "aml":
         return split_unmatched(correlate_context(parsed, lookup_side, few), "CONTEXT_NOT_FOUND", "application_id")
-    return parsed, None
+    return split_malformed(parsed, "application_id" if source == "fraud" else "source_event_id")
 
 
 def land(spark: SparkSession, root: str, envelope: DataFrame, source: str) -> None:
@@ -104,14 +106,15 @@ def land(spark: SparkSession, root: str, envelope: DataFrame, source: str) -> No
 
     if keep == "last":
         existing = held()
-        before = _with_content_key(existing).select(*keys, F.col("content_hash").alias("held_hash"))
-        latest = _with_content_key(dedupe_batch(envelope, source))
+        before = with_event_key(existing).select(*keys, F.col("content_hash").alias("held_hash"))
+        latest = with_event_key(dedupe_batch(envelope, source))
         changed = latest.join(before, list(keys), "inner").filter(F.col("content_hash") != F.col("held_hash"))
         changed = changed.select(*envelope.columns)
         touched = [r[0] for r in changed.select("ingest_date").distinct().collect()]
         if touched:
-            rows = replace_by_key(existing.filter(F.col("ingest_date").isin(touched)), changed, keys)
-            write_partitioned(rows, root, table, mode="replay")
+            days_held = with_event_key(existing.filter(F.col("ingest_date").isin(touched)))
+            rows = replace_by_key(days_held, with_event_key(changed), keys)
+            write_partitioned(rows.select(*envelope.columns), root, table, mode="replay")
     # Read again: a replaced day has new files.
     write_partitioned(append_idempotent(envelope, held(), source), root, table)
 
@@ -157,8 +160,7 @@ def stream_bronze(
             few = side is not None and parsed.count() <= FEW_RECORDS
             records, exceptions = attribute(parsed, source, side, few)
             land(spark, root, conform(bronze_envelope(records, source), TABLE_OF[source]), source)
-            if exceptions is not None:
-                land_exceptions(spark, root, exceptions, source)
+            land_exceptions(spark, root, exceptions, source)
         finally:
             parsed.unpersist()
 

@@ -93,3 +93,87 @@ def test_reporting_date(spark, tmp_path, sf_dir):
     assert rollup.agg(F.sum("total_ecl_provision"), F.sum("loan_count")).first() == (booked, history.count())
     detail = read_layer(spark, root, "ecl.ecl_lifetime_period_detail", AS_OF)
     assert detail.join(calculation, "ecl_calculation_id", "left_anti").count() == 0
+
+
+def gold_rows(spark, rows):
+    fields = "application_id STRING, aecb_score INT, dq_status STRING, assembled_at TIMESTAMP, batch_date DATE"
+    df = spark.createDataFrame([(a, s, "PASS", DAY, dt.date.fromisoformat(d)) for a, s, d in rows], fields)
+    return conform(df, "gold.lending_application_request")
+
+
+def serving(spark, root):
+    rows = spark.read.parquet(table_path(root, "serving.decision_input")).collect()
+    return {r.application_id: r.aecb_score for r in rows}
+
+
+def test_serving_copy_keeps_other_days_and_follows_reruns(spark, tmp_path):
+    root, table = str(tmp_path / "lake"), "gold.lending_application_request"
+    write_partitioned(gold_rows(spark, [("A1", 1, "2001-06-30"), ("A2", 2, "2001-06-30")]), root, table)
+    gold_run.refresh_serving(spark, root, "2001-06-30")
+    day = "2001-07-01"
+    write_partitioned(gold_rows(spark, [("A2", 20, day), ("A3", 30, day)]), root, table, mode="replay", as_of=day)
+    gold_run.refresh_serving(spark, root, day)
+    assert serving(spark, root) == {"A1": 1, "A2": 20, "A3": 30}
+    # A rerun in which all of the day is blocked: no row of it stays, earlier answers come back.
+    write_partitioned(gold_rows(spark, []), root, table, mode="replay", as_of=day)
+    assert read_layer(spark, root, table, day).count() == 0
+    gold_run.refresh_serving(spark, root, day)
+    assert serving(spark, root) == {"A1": 1, "A2": 2}
+
+
+def test_serving_copy_refuses_another_bucket_count(spark, tmp_path):
+    import pytest
+
+    from loanloom.streaming.serving import merge_latest
+
+    path = str(tmp_path / "copy")
+    rows = spark.createDataFrame([("A", 1)], "k STRING, t INT")
+    merge_latest(rows, path, ["k"], ["t"], buckets=4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        merge_latest(rows, path, ["k"], ["t"], buckets=8)
+
+
+def test_late_verdict_keeps_earlier_facts(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write_partitioned(gold_rows(spark, [("A1", 1, "2001-06-30"), ("A2", 2, "2001-06-30")]), root, "gold.lending_application_request")
+    spark.createDataFrame([("A1", "bnpl"), ("A2", "bnpl")], "application_id STRING, product_type STRING").write.parquet(
+        table_path(root, "mart.dim_product"))
+    for a, day in (("A1", "2001-06-30"), ("A2", "2001-07-01")):  # both decided on the same day, loaded on two
+        verdict = spark.createDataFrame([(a, "APPROVED", DAY, dt.date.fromisoformat(day))],
+                                        "application_id STRING, decision_outcome STRING, decided_at TIMESTAMP, batch_date DATE")
+        write_partitioned(conform(verdict, "gold.lending_application_response"), root, "gold.lending_application_response")
+        for _ in range(2):
+            gold_run.run_decisions(spark, root, day)
+    facts = read_table(spark, root, "gold.lending_applications").collect()
+    assert sorted(r.application_id for r in facts) == ["A1", "A2"]
+
+
+def test_rerun_takes_no_later_rows(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    for u, day in (("U1", 30), ("U2", 31)):
+        rows = spark.createDataFrame([(f"e-{u}", f"A{u}", u, DAY + dt.timedelta(days=day - 30), DAY, report(*PEOPLE[u][:3]))],
+            "source_event_id STRING, application_id STRING, internal_uuid STRING, received_at TIMESTAMP, source_generated_at TIMESTAMP, raw_payload STRING")
+        write_partitioned(conform(bronze_envelope(rows, "aecb"), "bronze.aecb"), root, "bronze.aecb")
+    taken = silver_run.newly_landed(spark, root, "aecb", AS_OF)
+    assert [r.internal_uuid for r in taken.collect()] == ["U1"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from loanloom.session import scratch_path
+
+    class Nothing:
+        def isDefined(self):
+            return False
+
+    class Context:
+        master = "spark://somewhere:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: Nothing()})()})()
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": lambda self, key, default=None: default})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session(), "x")

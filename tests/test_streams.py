@@ -125,3 +125,43 @@ def test_stream_dedupe_absorbs_repeats(spark, dirs):
     )
     query.awaitTermination()
     assert spark.read.schema("id INT, ts TIMESTAMP").parquet(str(dirs / "out")).select(F.count_distinct("id"), F.count("id")).first() == (5, 5)
+
+
+def test_no_text_is_lost_in_splitting(spark):
+    from loanloom.sources.landing import explode_bureau_batch
+
+    one, two = "<Report reportId='1'><a/></Report>", "<Report reportId='2'><a/></Report>"
+    files = {
+        "single": f"<?xml version='1.0'?>\n{one}",
+        "wrapped": f"<Reports>{one}</Reports>",
+        "batch": f"<Reports>{one}\n{two}</Reports>",
+        "cut": f"<Reports>{one}{two}<Report reportId='3'><a/>",
+        "none": "no report",
+        "empty": "",
+    }
+    rows = spark.createDataFrame(list(files.items()), "file_path STRING, value STRING")
+    got = {}
+    for r in explode_bureau_batch(rows).orderBy("file_path", "report_position").collect():
+        got.setdefault(r.file_path, []).append(r.value)
+    assert got["single"] == [files["single"]] and got["wrapped"] == [one] and got["batch"] == [one, two]
+    assert got["cut"][:2] == [one, two] and "reportId='3'" in got["cut"][2]
+    assert got["none"] == ["no report"] and got["empty"] == [""]
+
+
+def test_events_without_an_id_are_exceptions_or_stay_apart(spark):
+    from loanloom.sources.landing import append_idempotent, split_unmatched
+    from loanloom.streaming.landing_streams import attribute, parse_payloads
+
+    lines = spark.createDataFrame([("not json",), ('{"x": 1}',), ("not json",)], "value STRING").selectExpr(
+        "value", "TIMESTAMP '2001-06-30 00:00:00' AS arrived_at")
+    for source in ("fraud", "internal"):
+        landed, exceptions = attribute(parse_payloads(lines, source), source, None)
+        assert landed.count() == 0
+        assert sorted(r.raw_payload for r in exceptions.collect()) == ["not json", "not json", '{"x": 1}']
+    calls = spark.createDataFrame(
+        [(None, "A", "U", f"p{i}", f"h{i}", "2001-06-30") for i in (1, 2, 2)],
+        "source_event_id STRING, application_id STRING, internal_uuid STRING, raw_payload STRING, content_hash STRING, ingest_date STRING",
+    ).selectExpr("*", "TIMESTAMP '2001-06-30 00:00:00' AS received_at", "TIMESTAMP '2001-06-30 00:00:00' AS source_generated_at", "content_hash AS bronze_id")
+    kept, exceptions = split_unmatched(calls, "CONTEXT_NOT_FOUND", "application_id")
+    assert kept.count() == 0 and exceptions.count() == 3
+    assert append_idempotent(calls, calls.limit(0), "aml").count() == 2  # the same content twice is one event
