@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,44 +14,36 @@ FRESHNESS_DAYS = 30
 DUPLICATE_COUNT = "duplicate_count_application_id"
 
 
-@dataclass(frozen=True)
-class MustPassRule:
-    """``condition(as_of)`` is the row predicate."""
-
-    name: str
-    description: str
-    condition: Callable[[str], Column]
-
-    def passes(self, as_of: str) -> Column:
-        return F.coalesce(self.condition(as_of), F.lit(False))
-
-
 def _is_match(name: str) -> Column:
     return F.col(name) == "MATCH"
 
 
-MUST_PASS_RULES = (
-    MustPassRule("uuid_present", "the customer id is present and not empty",
-                 lambda as_of: F.length("internal_uuid") > 0),
-    MustPassRule("emirates_id_format", "the Emirates ID is present and well formed",
-                 lambda as_of: F.col("emirates_id").rlike(EMIRATES_ID_PATTERN)),
-    MustPassRule("no_duplicate_application_id", "the application id occurs once in the batch",
-                 lambda as_of: F.col(DUPLICATE_COUNT) == 1),
-    MustPassRule("dob_present", "the date of birth is present",
-                 lambda as_of: F.col("dob").isNotNull()),
-    MustPassRule("aecb_freshness", f"the bureau report is at most {FRESHNESS_DAYS} calendar days old",
-                 lambda as_of: F.datediff(F.lit(as_of).cast("date"), "aecb_report_date") <= FRESHNESS_DAYS),
-    MustPassRule("aml_resolved", "the AML decision is known and not NO_MATCH",
-                 lambda as_of: F.col("aml_match_decision") != "NO_MATCH"),
-    MustPassRule("identity_validated", "bureau and fraud identities match the profile",
-                 lambda as_of: _is_match("aecb_identity_status") & _is_match("fraud_identity_status")),
+def blocking_rules(as_of: str) -> dict[str, Column]:
+    """What must hold for a row of the batch of ``as_of``, by the rule's name."""
+    age = F.datediff(F.lit(as_of).cast("date"), "aecb_report_date")
+    holds = {
+        "uuid_present": F.length("internal_uuid") > 0,
+        "emirates_id_format": F.col("emirates_id").rlike(EMIRATES_ID_PATTERN),
+        "no_duplicate_application_id": F.col(DUPLICATE_COUNT) == 1,
+        "dob_present": F.col("dob").isNotNull(),
+        "aecb_freshness": age <= FRESHNESS_DAYS,
+        "aml_resolved": F.col("aml_match_decision") != "NO_MATCH",
+        "identity_validated": _is_match("aecb_identity_status") & _is_match("fraud_identity_status"),
+    }
+    return {name: F.coalesce(condition, F.lit(False)) for name, condition in holds.items()}
+
+
+# Names alone need no session.
+BLOCKING = (
+    "uuid_present", "emirates_id_format", "no_duplicate_application_id", "dob_present", "aecb_freshness",
+    "aml_resolved", "identity_validated",
 )
 
 
 def evaluate_must_pass(df: DataFrame, as_of: str) -> DataFrame:
     """Add the duplicate count, one ``passes_<rule>`` per rule and ``dq_status``."""
     counted = with_duplicate_count(df, "application_id", DUPLICATE_COUNT)
-    flags = {f"passes_{rule.name}": rule.passes(as_of) for rule in MUST_PASS_RULES}
+    flags = {f"passes_{name}": holds for name, holds in blocking_rules(as_of).items()}
     tested = counted.select("*", *[flag.alias(name) for name, flag in flags.items()])
     passed = F.lit(True)
     for name in flags:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.operators.rules import MUST_PASS_RULES
+from loanloom.operators.rules import BLOCKING
 from loanloom.schemas import conform
 
 MUST_PASS_WEIGHT = 2
@@ -19,7 +19,7 @@ def must_pass_rows(evaluated: DataFrame, source: Column) -> DataFrame:
     Passes are counted for all rules in one aggregate per source and batch; only
     those few rows are unpivoted, never the records.
     """
-    names = [rule.name for rule in MUST_PASS_RULES]
+    names = list(BLOCKING)
     counts = evaluated.groupBy(source.alias("source_system"), "batch_date").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"passes_{n}")).alias(n) for n in names]
     )

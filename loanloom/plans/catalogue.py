@@ -456,21 +456,21 @@ def divergence(v):
 # --- blocking rules ---------------------------------------------------------------
 
 
-def _rule_query(rule: rules.MustPassRule) -> None:
+def _rule_query(rule: str) -> None:
     def run(v):
-        flag = f"passes_{rule.name}"
+        flag = f"passes_{rule}"
         return v.evaluated.select("application_id", "internal_uuid", "aecb_score", flag)
 
-    run.__name__ = f"rule_{rule.name}"
+    run.__name__ = f"rule_{rule}"
     query(run)
 
 
-for _rule in rules.MUST_PASS_RULES:
+for _rule in rules.BLOCKING:
     _rule_query(_rule)
 
 _EVALUATED = (
     "application_id", "internal_uuid", "aecb_score", rules.DUPLICATE_COUNT,
-    *[f"passes_{r.name}" for r in rules.MUST_PASS_RULES], "dq_status",
+    *[f"passes_{r}" for r in rules.BLOCKING], "dq_status",
 )
 
 

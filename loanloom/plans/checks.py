@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from loanloom.operators.rules import MUST_PASS_RULES
+from loanloom.operators.rules import BLOCKING
 from loanloom.plans.catalogue import AS_OF, DQ_AS_OF
 from loanloom.sources import sample_views
 
@@ -106,7 +106,7 @@ CHECK_VIEWS: dict[str, str] = {
                  AS passes_identity_validated
         FROM o_request""",
     "o_evaluated": "SELECT *, CASE WHEN "
-    + " AND ".join(f"passes_{r.name}" for r in MUST_PASS_RULES)
+    + " AND ".join(f"passes_{r}" for r in BLOCKING)
     + " THEN 'PASS' ELSE 'BLOCKED' END AS dq_status FROM o_flags",
     "o_audit_aecb": f"""
         SELECT {_uuid_of("'aecb'", 'application_id', 'bronze_id', "'v1.0'", f"'{AS_OF}'")} AS audit_id,
@@ -340,7 +340,7 @@ _DELINQUENCY = f"""
 
 _EVALUATED = (
     "application_id, internal_uuid, aecb_score, duplicate_count_application_id, "
-    + ", ".join(f"passes_{r.name}" for r in MUST_PASS_RULES) + ", dq_status"
+    + ", ".join(f"passes_{r}" for r in BLOCKING) + ", dq_status"
 )
 
 _GATE = (
@@ -458,8 +458,8 @@ CHECKS: dict[str, str] = {
     "divergence": f"""SELECT loan_id, parameter_type, horizon_type, pit_value, ttc_value,
         {_r('absolute_divergence', 6)} AS absolute_divergence, divergence_flag FROM o_flagged""",
     **{
-        f"rule_{r.name}": f"SELECT application_id, internal_uuid, aecb_score, passes_{r.name} FROM o_evaluated"
-        for r in MUST_PASS_RULES
+        f"rule_{r}": f"SELECT application_id, internal_uuid, aecb_score, passes_{r} FROM o_evaluated"
+        for r in BLOCKING
     },
     "evaluate_must_pass": f"SELECT {_EVALUATED} FROM o_evaluated",
     "blocked_records": f"SELECT {_EVALUATED} FROM o_evaluated WHERE dq_status = 'BLOCKED'",
@@ -559,11 +559,11 @@ CHECKS: dict[str, str] = {
         CASE WHEN lag >= 4 THEN 'PAGE' WHEN lag >= 2 THEN 'WARN' ELSE 'OK' END AS lag_severity
         FROM (SELECT bronze_id, (epoch(aecb_received_at) - epoch(CAST(batch_date AS TIMESTAMP))) / 3600e0 AS lag FROM bureau_answers) x""",
     "build_dq_scorecard": "\nUNION ALL\n".join(
-        f"""SELECT 'internal' AS source_system, '{AS_OF}' AS batch_date, '{r.name}' AS rule_name, 'MUST_PASS' AS rule_tier,
-            round(avg(CASE WHEN passes_{r.name} THEN 1e0 ELSE 0e0 END), 4) AS pass_rate, count(*) AS records_evaluated,
-            count(*) FILTER (WHERE NOT passes_{r.name}) AS records_failed,
-            CAST(round(100 * avg(CASE WHEN passes_{r.name} THEN 1e0 ELSE 0e0 END)) AS INTEGER) AS score FROM o_evaluated"""
-        for r in MUST_PASS_RULES
+        f"""SELECT 'internal' AS source_system, '{AS_OF}' AS batch_date, '{r}' AS rule_name, 'MUST_PASS' AS rule_tier,
+            round(avg(CASE WHEN passes_{r} THEN 1e0 ELSE 0e0 END), 4) AS pass_rate, count(*) AS records_evaluated,
+            count(*) FILTER (WHERE NOT passes_{r}) AS records_failed,
+            CAST(round(100 * avg(CASE WHEN passes_{r} THEN 1e0 ELSE 0e0 END)) AS INTEGER) AS score FROM o_evaluated"""
+        for r in BLOCKING
     )
     + f"""\nUNION ALL SELECT 'internal', '{AS_OF}', rule_name, 'WARNING', NULL, NULL, NULL,
           CASE severity WHEN 'OK' THEN 100 WHEN 'WARN' THEN 50 ELSE 0 END FROM o_metrics

@@ -50,7 +50,7 @@ def test_good_record_passes(spark):
 )
 def test_each_bad_input_blocks_by_its_rule_alone(spark, change, rule):
     row = rules.evaluate_must_pass(frame(spark, change), AS_OF).first().asDict()
-    failed = [r.name for r in rules.MUST_PASS_RULES if not row[f"passes_{r.name}"]]
+    failed = [r for r in rules.BLOCKING if not row[f"passes_{r}"]]
     assert failed == [rule] and row["dq_status"] == "BLOCKED"
 
 
