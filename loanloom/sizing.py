@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Spark's own limit: sizes are of compressed files, which grow several times in memory.
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
