@@ -60,7 +60,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = with_row_key(docs)
     slim = keyed.select("doc_id", "source", "__file", "__row", mixing.size_of(F.col("text")).alias("size"))
     taken = mixing.mix(slim).filter("copies > 0").select("__file", "__row", F.col("copies").cast("int").alias("__copies"))
-    joined = keyed.join(taken, ["__file", "__row"])
+    # Always by a shuffle: whether the keys would fit a broadcast depends on the size.
+    joined = keyed.join(taken.hint("merge"), ["__file", "__row"])
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
 
 
