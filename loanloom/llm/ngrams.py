@@ -1,6 +1,6 @@
 """A Katz backoff bigram model of all training texts, and texts scored by it.
 
-Counts are Good-Turing discounted up to `CUTOFF`, backoff weights are normalised
+Counts up to `CUTOFF` get smoothed Good-Turing discounts, backoff weights are normalised
 exactly. The work goes over chunks of a few megabytes of text: a chunk asks the
 partitions of the unigram table, then those of the bigram table, about its
 distinct words and word pairs, and gets the totals over all chunks back. What is
@@ -11,6 +11,7 @@ shared folder, and no table is gathered in one place.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +26,10 @@ from loanloom.llm.shared import opened
 from loanloom.llm.text import TOKEN_BYTES, Words, mix, span_hashes, steps
 from loanloom.session import scratch_path
 
-#: Counts up to this one are discounted.
+#: Counts up to this one are discounted by Good-Turing estimates.
 CUTOFF = 5
+#: Taken off greater counts, and off all where there are no estimates.
+FLAT = 0.5
 CHUNK_BYTES = 4 << 20
 #: Ids that are no words: the end of a text, and the history of its first word.
 END, START = 0, 1
@@ -59,16 +62,30 @@ def discounts(numbers: list[int], cutoff: int = CUTOFF) -> np.ndarray:
     """What is taken off a count c, at index min(c, cutoff + 1); index 0 is not used.
 
     ``numbers[r - 1]`` is how many things were counted r times, for r up to
-    ``cutoff + 1``. Where these are too few for Good-Turing estimates between 0
-    and r, 0.5 is taken off every count, so that some probability is always left.
+    ``cutoff + 1``. They are smoothed as in Simple Good-Turing: a line through
+    their logarithms over log r, empty classes averaged in. On the line n(r) =
+    a * r^b a count r keeps (1 + 1/r)^(b + 1) of itself, and Katz's share of
+    that lies between 0 and 1 for every b. Only if less than two classes hold
+    anything there is no line, and `FLAT` is taken off every count. It is taken
+    off counts above ``cutoff`` in any case: a history that is followed by such
+    counts only would else leave nothing for other words.
     """
-    n = [0, *numbers]
-    if all(n[1 : cutoff + 2]):
-        share = (cutoff + 1) * n[cutoff + 1] / n[1]
-        kept = [((r + 1) * n[r + 1] / n[r] / r - share) / (1 - share) if share < 1 else 0 for r in range(1, cutoff + 1)]
+    n = {r: k for r, k in enumerate(numbers[: cutoff + 1], 1) if k}
+    if len(n) > 1:
+        places = list(n)
+        before = [0, *places[:-1]]
+        after = [*places[1:], 2 * places[-1] - places[-2]]
+        x = np.log(places)
+        y = np.log([2 * n[r] / (b - a) for r, a, b in zip(places, before, after, strict=True)])
+        power = float(((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()) + 1
+
+        def rise(base: float) -> float:
+            return math.expm1(power * math.log(base)) / power if power else math.log(base)
+
+        kept = [1 - rise(1 + 1 / r) / rise(cutoff + 1) for r in range(1, cutoff + 1)]
         if all(0 < k < 1 for k in kept):
-            return np.array([0.0, *[r * (1 - k) for r, k in enumerate(kept, 1)], 0.0])
-    return np.array([0.0, *[0.5] * (cutoff + 1)])
+            return np.array([0.0, *[r * (1 - k) for r, k in enumerate(kept, 1)], FLAT])
+    return np.array([0.0, *[FLAT] * (cutoff + 1)])
 
 
 def off(discount: np.ndarray, counts: np.ndarray) -> np.ndarray:
