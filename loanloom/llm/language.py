@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm.shared import stored
@@ -23,7 +23,7 @@ from loanloom.llm.text import lower_ascii, steps, text_bytes
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-#: Bound of the training sample: labelled rows over all languages, and windows of each row.
+#: Bound of the training sample: distinct labelled texts over all languages, and windows of each.
 SAMPLE_ROWS = 2000
 SAMPLE_WINDOWS = 3
 UNKNOWN = "und"
@@ -149,26 +149,36 @@ def cut(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW) -> tuple[np.n
 
 
 def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, windows: int = SAMPLE_WINDOWS) -> list[tuple[str, str]]:
-    """About equally many rows of each language, chosen by hash, and pieces of their texts.
+    """Equally many distinct texts of each language, those of smallest hash, and pieces of them.
 
-    At most ``1.5 * rows`` rows and ``windows`` pieces of ``WINDOW`` characters
-    from each come to the driver, however large the corpus is.
+    Repeats of a text count once, so copies neither push other texts out nor lower
+    their language's rate. A language with fewer distinct texts than its share
+    gives all, and every language gives one at least. At most ``rows`` texts (or one
+    for each language, if there are more languages) and ``windows`` pieces of
+    ``WINDOW`` characters from each come to the driver, however large the corpus is.
     """
-    labelled = labelled.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text")
-    counts = stored(labelled.groupBy("lang").count(), "languages")
+    labelled = labelled.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("hash"))
+    distinct = stored(labelled.select("lang", "hash").distinct(), "label-hashes")
+    counts = stored(distinct.groupBy("lang").agg(F.count("*").alias("count"), F.min("hash").alias("least")), "languages")
     languages = counts.count()
-    each = rows / F.lit(max(1, languages))
-    share = counts.select("lang", F.least(F.lit(1.0), F.lit(1.2) * each / F.col("count")).alias("share"))
-    key = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = labelled.join(F.broadcast(share) if languages <= BROADCAST_LANGUAGES else share, "lang")
-    chosen = chosen.filter(key < F.col("share"))
+    each = max(1, rows // max(1, languages))
+    # The smallest hashes of a language lie below a bound that twice as many and 50 more are expected
+    # to pass, so that only those few are sorted.
+    bound = F.lit(float(-(1 << 63))) + F.least(F.lit(1.0), F.lit(2.0 * each + 50) / F.col("count")) * F.lit(float(1 << 64))
+    limits = counts.select("lang", bound.alias("bound"), "least")
+    near = distinct.join(F.broadcast(limits) if languages <= BROADCAST_LANGUAGES else limits, "lang")
+    near = near.filter((F.col("hash") <= F.col("bound")) | (F.col("hash") == F.col("least")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    chosen = stored(near.withColumn("place", place).filter(F.col("place") <= each).select("lang", "hash"), "chosen-texts")
     room = F.greatest(F.length("text") - F.lit(WINDOW), F.lit(0)) + F.lit(1)
     pieces = [
         F.substr("text", F.pmod(F.xxhash64("text", F.lit(k)), room).cast("int") + F.lit(1), F.lit(WINDOW))
         for k in range(windows)
     ]
-    found = chosen.select("lang", F.array(*pieces).alias("pieces")).limit(int(1.5 * rows)).collect()
-    return sorted({(r.lang, piece) for r in found for piece in r.pieces})
+    few = each * languages <= max(rows, BROADCAST_LANGUAGES)
+    texts = labelled.join(F.broadcast(chosen) if few else chosen, ["lang", "hash"])
+    found = texts.select("lang", "hash", F.array(*pieces).alias("pieces")).groupBy("lang", "hash").agg(F.min("pieces").alias("pieces"))
+    return sorted({(r.lang, piece) for r in found.select("lang", "pieces").collect() for piece in r.pieces})
 
 
 def train(sample: list[tuple[str, str]]) -> ByteNetwork | None:
