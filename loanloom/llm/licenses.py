@@ -1,8 +1,8 @@
 """License statements in texts, by ordered signature rules.
 
 A rule is a hand-written regular expression over the lower-cased words of a text
-joined by single spaces, with a label, a priority, a strength and a keyword that
-must occur before the expression is tried. Of overlapping detections one that lies
+joined by single spaces, with a label, a priority, a strength and keywords: words of
+which every match contains one, and one must occur before the expression is tried. Of overlapping detections one that lies
 within another of the same or a higher priority goes. The three base phrases
 are found beside the rules on every text, by their words.
 """
@@ -34,14 +34,14 @@ BASE = {
 class Rule:
     """Higher ``priority`` first; ``strength`` (0 to 1) is how sure a match makes the label."""
 
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     label: str
     priority: int
     strength: float
 
 
-# One expression per line: label, keyword, expression. Words stand alone, versions are words of their own
+# One expression per line: label, keywords (one stands as a word in every match), expression. Words stand alone, versions are words of their own
 # ("v2" or "2 0"), so that "GPL-2.0" reads "gpl 2 0".
 _NOTICES = r"""
 mit | permission | permission is hereby granted free of charge to any person obtaining a copy
@@ -58,7 +58,7 @@ bsd-3-clause | bsd | bsd 3 clause
 bsd-3-clause | neither | neither the name of (?:\w+ ){1,8}nor the names of its contributors may be used
 bsd-4-clause | advertising | all advertising materials mentioning features or use of this software must display
 bsd-4-clause | bsd | bsd 4 clause
-0bsd | bsd | (?:zero clause bsd|bsd zero clause|0bsd)
+0bsd | bsd 0bsd | (?:zero clause bsd|bsd zero clause|0bsd)
 isc | permission | permission to use copy modify and or distribute this software for any purpose with or without fee
 isc | isc | isc licen[cs]e
 apache-2.0 | apache | apache licen[cs]e(?: version)? v?2(?: 0)?
@@ -68,7 +68,7 @@ apache-1.1 | apache | apache (?:software )?licen[cs]e(?: version)? v?1 1
 apache-1.0 | apache | apache (?:software )?licen[cs]e(?: version)? v?1 0
 gpl | gnu | gnu general public licen[cs]e
 gpl | gpl | (?:under|with) (?:the )?(?:terms of the )?(?:gnu )?gpl
-gpl | gplv | gplv[123]
+gpl | gplv1 gplv2 gplv3 | gplv[123]
 gpl-1.0 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 1
 gpl-2.0 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2
 gpl-3.0 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
@@ -76,7 +76,6 @@ gpl-2.0 | gpl | (?:gnu )?gpl(?: version)? v?2(?: 0)?
 gpl-3.0 | gpl | (?:gnu )?gpl(?: version)? v?3(?: 0)?
 gpl | franklin | free software foundation inc (?:\d+ )?franklin st
 gpl | temple | free software foundation inc (?:\d+ )?temple place
-gpl | copyleft | this program is free software you can redistribute it and or modify
 gpl | redistribute | this program is free software you can redistribute it and or modify
 lgpl | lesser | (?:gnu )?lesser general public licen[cs]e
 lgpl | library | (?:gnu )?library general public licen[cs]e
@@ -85,10 +84,14 @@ lgpl-2.1 | lesser | (?:gnu )?lesser general public licen[cs]e(?: as published by
 lgpl-3.0 | lesser | (?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
 lgpl-2.1 | lgpl | (?:gnu )?lgpl(?: version)? v?2 1
 lgpl-3.0 | lgpl | (?:gnu )?lgpl(?: version)? v?3
+lgpl-2.1 | lgplv2 | lgplv2 1
+lgpl-2.0 | lgplv2 | lgplv2(?: 0)?
+lgpl-3.0 | lgplv3 | lgplv3(?: 0)?
 lgpl | lgpl | (?:gnu )?lgpl
 agpl | affero | (?:gnu )?affero general public licen[cs]e
 agpl-3.0 | affero | (?:gnu )?affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3
 agpl-3.0 | agpl | (?:gnu )?agpl(?: version)? v?3
+agpl-3.0 | agplv3 | agplv3(?: 0)?
 agpl | agpl | (?:gnu )?agpl
 gfdl | documentation | gnu free documentation licen[cs]e
 mpl-2.0 | mozilla | mozilla public licen[cs]e(?: version)? v? ?2(?: 0)?
@@ -100,8 +103,7 @@ epl-1.0 | eclipse | eclipse public licen[cs]e(?: version)? v? ?1(?: 0)?
 epl-2.0 | eclipse | eclipse public licen[cs]e(?: version)? v? ?2(?: 0)?
 epl | eclipse | eclipse public licen[cs]e
 edl | eclipse | eclipse distribution licen[cs]e
-cddl | cddl | common development and distribution licen[cs]e(?: cddl)?
-cddl | development | common development and distribution licen[cs]e
+cddl | development | common development and distribution licen[cs]e(?: cddl)?
 cpl | common | common public licen[cs]e
 ipl | ibm | ibm public licen[cs]e
 eupl | european | european union public licen[cs]e
@@ -125,22 +127,22 @@ unlicense | unencumbered | free and unencumbered software released into the publ
 unlicense | unlicense | the unlicense
 wtfpl | fuck | do what the fuck you want to public licen[cs]e
 wtfpl | wtfpl | wtfpl
-beerware | beer | (?:beer ?ware|beer ware) licen[cs]e
+beerware | beer beerware | (?:beer ?ware|beer ware) licen[cs]e
 sspl | server | server side public licen[cs]e
 bsl-1.1 | business | business source licen[cs]e(?: 1 1)?
 elastic-2.0 | elastic | elastic licen[cs]e(?: 2 0)?
 commons-clause | clause | commons clause licen[cs]e condition
 polyform | polyform | polyform (?:noncommercial|small business|strict|shield) licen[cs]e
-openrail | openrail | (?:bigscience |creativeml )?open ?rail(?: m)?
+openrail | openrail rail | (?:bigscience |creativeml )?open ?rail(?: m)?
 odbl | open | open (?:data commons open )?database licen[cs]e
 odc-by | commons | open data commons attribution licen[cs]e
-pddl | pddl | public domain dedication and licen[cs]e
+pddl | dedication | public domain dedication and licen[cs]e
 ofl | font | sil open font licen[cs]e(?: version)?(?: 1 1)?
 ofl | ofl | ofl 1 1
 free-art | art | free art licen[cs]e
 ogl | government | open government licen[cs]e
 cc0 | cc0 | cc0(?: 1 0)?(?: universal)?
-cc0 | universal | creative commons zero
+cc0 | zero | creative commons zero
 cc0 | waived | (?:has|have) waived all copyright and related or neighboring rights
 cc | creativecommons | creativecommons org licenses [a-z]+(?: [a-z]+)* \d 0
 cc | creative | licensed under (?:a |the )?creative commons
@@ -148,7 +150,7 @@ public-domain | domain | (?:released|placed|dedicated) (?:in|into|to) the public
 public-domain | domain | (?:this work|it) is in the public domain
 proprietary | proprietary | proprietary and confidential
 proprietary | unauthorized | unauthorized (?:copying|reproduction|use) of this (?:file|work|software)
-proprietary | permission | no part of this (?:publication|book|work|document) may be reproduced
+proprietary | reproduced | no part of this (?:publication|book|work|document) may be reproduced
 proprietary | written | without (?:the )?(?:prior|express) written (?:permission|consent)
 reserved | alle | alle rechte vorbehalten
 reserved | droits | tous droits r[ée]serv[ée]s
@@ -184,21 +186,21 @@ def _rules() -> list[Rule]:
     """All rules, most specific first."""
     found = []
     for line in _NOTICES.strip().splitlines():
-        label, keyword, pattern = (x.strip() for x in line.split("|", 2))
+        label, keywords, pattern = (x.strip() for x in line.split("|", 2))
         versioned = any(c.isdigit() for c in label)
-        found.append(Rule(keyword, pattern, label, 3 if versioned else 2, 0.95 if versioned else 0.8))
+        found.append(Rule(tuple(keywords.split()), pattern, label, 3 if versioned else 2, 0.95 if versioned else 0.8))
     for short, name in _ELEMENTS.items():
         label = "cc-" + short.replace(" ", "-")
         for version in _CC_VERSIONS:
             full = f"{label}-{version.replace(' ', '.')}"
-            found.append(Rule("cc", rf"cc {short} {version}", full, 4, 0.95))
-            found.append(Rule("creative", rf"creative commons {name}(?: (?:unported|international|licen[cs]e))? {version}", full, 4, 0.95))
-            found.append(Rule("creativecommons", rf"creativecommons org licenses {short} {version}", full, 4, 0.95))
-        found.append(Rule("cc", rf"cc {short}", label, 3, 0.8))
-        found.append(Rule("creative", rf"creative commons {name}", label, 3, 0.85))
+            found.append(Rule(("cc",), rf"cc {short} {version}", full, 4, 0.95))
+            found.append(Rule(("creative",), rf"creative commons {name}(?: (?:unported|international|licen[cs]e))? {version}", full, 4, 0.95))
+            found.append(Rule(("creativecommons",), rf"creativecommons org licenses {short} {version}", full, 4, 0.95))
+        found.append(Rule(("cc",), rf"cc {short}", label, 3, 0.8))
+        found.append(Rule(("creative",), rf"creative commons {name}", label, 3, 0.85))
     for name in _SPDX.replace("\n", " ").split(","):
         words = re.sub("[^a-z0-9]+", " ", name.strip().lower()).strip()
-        found.append(Rule("spdx", rf"spdx license identifier {words}(?: only| or later)?", name.strip().lower(), 5, 1.0))
+        found.append(Rule(("spdx",), rf"spdx license identifier {words}(?: only| or later)?", name.strip().lower(), 5, 1.0))
     return sorted(found, key=lambda r: (-r.priority, -len(r.pattern), r.pattern, r.label))
 
 
@@ -215,15 +217,16 @@ class Scanner:
     def of(cls, rules: list[Rule]) -> Scanner:
         found: dict[bytes, list[tuple[Rule, re.Pattern[str]]]] = {}
         for rule in rules:
-            found.setdefault(rule.keyword.encode(), []).append((rule, re.compile(rf"(?<!\S)(?:{rule.pattern})(?!\S)")))
+            pattern = re.compile(rf"(?<!\S)(?:{rule.pattern})(?!\S)")
+            for keyword in rule.keywords:
+                found.setdefault(keyword.encode(), []).append((rule, pattern))
         return cls(found)
 
     def detect(self, text: str, keywords: set[bytes]) -> list[tuple[int, int, Rule]]:
         """The detections that stand, over words joined by spaces, in order."""
         spans = []
-        for keyword in keywords:
-            for rule, pattern in self.by_keyword[keyword]:
-                spans += [(m.start(), m.end(), rule) for m in pattern.finditer(text)]
+        for rule, pattern in {tried for keyword in keywords for tried in self.by_keyword[keyword]}:
+            spans += [(m.start(), m.end(), rule) for m in pattern.finditer(text)]
         spans.sort(key=lambda s: (-s[2].priority, s[0] - s[1], s[0], s[2].label))
         # Priorities from the highest, longer spans first: a span that lies in a kept one goes.
         kept: list[tuple[int, int, Rule]] = []
