@@ -183,12 +183,13 @@ def _window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
 def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_pairs: int = BLOCK_PAIRS) -> tuple[str, int]:
     """The distinct (window, item) pairs as a table in blocks; its path and their number.
 
-    Texts that are null or without words have no window. Repeated items count once.
+    Texts that are null or without words have no window. Repeated items count once;
+    items without an id count as one, whose windows have a null owner.
     """
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("item_text"))
     pairs = stored(
-        items.filter("item_id IS NOT NULL AND item_text IS NOT NULL")
+        items.filter("item_text IS NOT NULL")
         .mapInArrow(lambda b: _window_rows(b, window), "item_id string, words array<binary>")
         .distinct(),
         "benchmark-windows",
@@ -207,7 +208,7 @@ class Block:
     vocabulary: pa.Array
     patterns: np.ndarray
     lengths: np.ndarray
-    items: list[list[str]]
+    items: list[list[str | None]]
 
     @classmethod
     def read(cls, path: str, number: int, window: int) -> Block | None:
@@ -215,7 +216,7 @@ class Block:
         if system.get_file_info(where).type.name == "NotFound":
             return None
         table = pq.read_table(where, columns=["item_id", "words"], filesystem=system)
-        owners: dict[tuple[bytes, ...], list[str]] = {}
+        owners: dict[tuple[bytes, ...], list[str | None]] = {}
         for item, words in zip(table["item_id"].to_pylist(), table["words"].to_pylist(), strict=True):
             owners.setdefault(tuple(words), []).append(item)
         vocabulary = {w: k for k, w in enumerate(sorted({w for words in owners for w in words}), 1)}
@@ -266,6 +267,7 @@ def merged(first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> tuple[np.nda
 RESULT = {
     "n_words": "long",
     "n_hit": "long",
+    "n_items": "long",
     "items": "array<string>",
     "spans": "array<struct<start: long, end: long>>",
 }
@@ -281,7 +283,7 @@ def _search(
         n = batch.num_rows
         owner = np.repeat(np.arange(n), words.counts)
         firsts, lasts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        items: dict[int, set[str]] = {}
+        items: dict[int, set[str | None]] = {}
         for number in range(blocks):
             block = kept if blocks == 1 else Block.read(path, number, window)
             if block is None or not len(tokens):
@@ -301,7 +303,8 @@ def _search(
         own = [
             pa.array(words.counts.astype(np.int64)),
             pa.array(hit),
-            pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+            pa.array([len(items.get(d, ())) for d in range(n)], pa.int64()),
+            pa.array([sorted(items.get(d, set()) - {None}) for d in range(n)], pa.list_(pa.string())),
             pa.ListArray.from_arrays(pa.array(edges), spans),
         ]
         rest = [c for c in batch.schema.names if c != "__text"]
@@ -316,8 +319,10 @@ def decontaminate(
     """The columns ``keep`` of every document, with what the benchmark hits in it.
 
     ``n_words``; ``n_hit``, the words inside any occurrence of a window;
-    ``items``, the items with occurring windows, sorted; ``spans``, the merged
-    runs of hit words, counted from 0, end exclusive. A null or empty text has
+    ``n_items``, the number of items with occurring windows; ``items``, their ids,
+    sorted; ``spans``, the merged runs of hit words, counted from 0, end exclusive.
+    Benchmark rows without an id hit like others: together they are one item,
+    which is counted and has no place among the ids. A null or empty text has
     no words and no hits; an empty benchmark hits nothing; repeated documents
     give a row each. Extra columns play no part, whatever their names; where
     kept ones are called like the results, ``prefix`` sets the results apart.
@@ -336,7 +341,7 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+        "n_items",
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
