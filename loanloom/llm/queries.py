@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, embeddings, language, licenses, mixing, near_duplicates, ngrams, oracles, pii, tokens, warc
+from loanloom.llm import decontaminate, embeddings, language, licenses, main_text, mixing, near_duplicates, ngrams, oracles, pii, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -87,3 +87,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.decontaminate(docs, benchmark, ["doc_id"]))
+
+
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
