@@ -103,6 +103,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM first
 """
 
+SEARCH = rf"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all({_LOWER}, '{_WORD}'), []) AS words FROM documents
+), whole AS (
+    SELECT count(*) FILTER (WHERE len(words) > 0)::BIGINT AS docs, sum(len(words))::BIGINT AS terms FROM d
+), items AS (
+    SELECT item_id, row_number() OVER () AS q, list_distinct(coalesce(regexp_extract_all({_LOWER}, '{_WORD}'), [])) AS words FROM benchmark
+), wanted AS (
+    SELECT q, item_id, unnest(words) AS term FROM items
+), counted AS (
+    SELECT r, doc_id, len(words)::BIGINT AS n, term, count(*)::BIGINT AS tf
+    FROM (SELECT r, doc_id, words, unnest(words) AS term FROM d) SEMI JOIN wanted USING (term) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM counted, whole GROUP BY term
+), scored AS (
+    SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+    FROM wanted JOIN counted USING (term) JOIN weights USING (term), whole GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 EMBEDDINGS = """
 WITH RECURSIVE e AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, embeddings, language, licenses, main_text, mixing, near_duplicates, ngrams, oracles, pii, tokens, warc
+from loanloom.llm import decontaminate, embeddings, language, licenses, main_text, mixing, near_duplicates, ngrams, oracles, pii, ranked_search, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {
     "op7_near_duplicates": oracles.NEAR_DUPLICATES,
     "op8_mix": oracles.MIX,
     "op10_decontaminate": oracles.DECONTAMINATE,
+    "op12_search": oracles.SEARCH,
 }
 
 
@@ -92,3 +93,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"), "item_id")
