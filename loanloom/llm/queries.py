@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontaminate, embeddings, language, licenses, main_text, mixing, near_duplicates, ngrams, oracles, pii, ranked_search, tokens, warc
+from loanloom.llm import decontaminate, embeddings, language, licenses, main_text, mixing, near_duplicates, ngrams, oracles, pii, ranked_search, resampling, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -99,3 +99,8 @@ def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranked_search.build_index(table(spark, sf_dir, "documents"))
     return ranked_search.search(index, table(spark, sf_dir, "benchmark"), "item_id")
+
+
+@query
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
