@@ -1,11 +1,13 @@
 """Benchmark decontamination with an FM-index per training shard.
 
 Every task cuts its documents into shards of a few megabytes, indexes each shard
-(suffix array, Burrows-Wheeler transform, wavelet matrix, sampled suffix
+once (suffix array, Burrows-Wheeler transform, wavelet matrix, sampled suffix
 positions) and searches all benchmark windows backwards in it. The windows lie
 in the shared folder in blocks of bounded size; a task holds one block and one
 shard at a time, so neither a large benchmark nor a large corpus gathers
-anywhere. Documents are never shuffled.
+anywhere. Symbols are the shard's own words: those that no block holds are one
+symbol, and windows with a word that the shard lacks are not searched. Documents
+are never shuffled.
 """
 
 from __future__ import annotations
@@ -203,7 +205,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_pairs: in
 
 @dataclass
 class Block:
-    """One block of windows, as symbols of its own vocabulary (1 and up)."""
+    """One block of windows, as numbers of the words in its own vocabulary."""
 
     vocabulary: pa.Array
     patterns: np.ndarray
@@ -219,36 +221,54 @@ class Block:
         owners: dict[tuple[bytes, ...], list[str | None]] = {}
         for item, words in zip(table["item_id"].to_pylist(), table["words"].to_pylist(), strict=True):
             owners.setdefault(tuple(words), []).append(item)
-        vocabulary = {w: k for k, w in enumerate(sorted({w for words in owners for w in words}), 1)}
+        vocabulary = {w: k for k, w in enumerate(sorted({w for words in owners for w in words}))}
         patterns = np.zeros((len(owners), window), dtype=np.int64)
         for i, words in enumerate(owners):
             patterns[i, : len(words)] = [vocabulary[w] for w in words]
         lengths = np.array([len(words) for words in owners], dtype=np.int64)
-        values = pa.array(list(vocabulary), pa.large_binary())
-        return cls(values, patterns, lengths, list(owners.values()))
+        return cls(pa.array(list(vocabulary), pa.large_binary()), patterns, lengths, list(owners.values()))
 
 
 # --- the documents ----------------------------------------------------------
 
 
-def _hits(words: Words, tokens: pa.Array, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, past-the-last word and pattern number of every occurrence in a shard."""
-    symbol = pc.fill_null(pc.index_in(tokens, value_set=block.vocabulary), -1).to_numpy().astype(np.int64) + 1
-    # A 0 closes every text, and runs of words outside the vocabulary shrink to one 0.
-    n = symbol.size
-    ends = words.bounds[1:]
-    joined = np.insert(symbol, ends, 0)
-    origin = np.insert(np.arange(n), ends, -1)
-    keep = np.ones(joined.size, dtype=bool)
-    keep[1:] = (joined[1:] != 0) | (joined[:-1] != 0)
-    sequence, origin = joined[keep], origin[keep]
-    index = FMIndex(sequence, len(block.vocabulary) + 1)
-    lo, hi = index.search(block.patterns, block.lengths)
-    counts = hi - lo
-    pattern = np.repeat(np.arange(counts.size), counts)
-    rows = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(lo, counts)
-    first = origin[index.locate(rows)]
-    return first, first + block.lengths[pattern], pattern
+class Shard:
+    """Some texts as one sequence of symbols, indexed once for all blocks."""
+
+    def __init__(self, column: pa.Array, vocabularies: Iterator[pa.Array]):
+        self.words = Words(column, WORD_BYTES)
+        coded = self.words.array().dictionary_encode()
+        known = np.zeros(len(coded.dictionary), dtype=bool)
+        for vocabulary in vocabularies:
+            known |= pc.is_in(coded.dictionary, value_set=vocabulary).to_numpy(zero_copy_only=False)
+        number = np.where(known, np.cumsum(known), 0)
+        # The symbol of each of these words is its place among them, from 1.
+        self.dictionary = coded.dictionary.filter(pa.array(known))
+        symbol = number[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, dtype=np.int64)
+        # A 0 closes every text, and runs of words that no window holds shrink to one 0.
+        ends = self.words.bounds[1:]
+        joined = np.insert(symbol, ends, 0)
+        origin = np.insert(np.arange(symbol.size), ends, -1)
+        keep = np.ones(joined.size, dtype=bool)
+        keep[1:] = (joined[1:] != 0) | (joined[:-1] != 0)
+        self.origin = origin[keep]
+        self.index = FMIndex(joined[keep], len(self.dictionary) + 1) if len(self.dictionary) else None
+
+    def hits(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, past-the-last word and pattern number of every occurrence of the block's windows."""
+        if self.index is None:
+            none = np.zeros(0, dtype=np.int64)
+            return none, none, none
+        symbol = pc.fill_null(pc.index_in(block.vocabulary, value_set=self.dictionary), -1).to_numpy().astype(np.int64) + 1
+        patterns = symbol[block.patterns]
+        inside = np.arange(patterns.shape[1])[None, :] < block.lengths[:, None]
+        tried = np.flatnonzero(((patterns > 0) | ~inside).all(axis=1))
+        lo, hi = self.index.search(patterns[tried], block.lengths[tried])
+        counts = hi - lo
+        pattern = np.repeat(tried, counts)
+        rows = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(lo, counts)
+        first = self.origin[self.index.locate(rows)]
+        return first, first + block.lengths[pattern], pattern
 
 
 def merged(first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,18 +297,23 @@ def _search(
     batches: Iterator[pa.RecordBatch], path: str, blocks: int, window: int, names: list[str]
 ) -> Iterator[pa.RecordBatch]:
     kept = Block.read(path, 0, window) if blocks == 1 else None
+
+    def read() -> Iterator[Block]:
+        """All blocks in turn; a single one is kept."""
+        for number in range(blocks):
+            block = kept if blocks == 1 else Block.read(path, number, window)
+            if block is not None:
+                yield block
+
     for batch in steps(batches, "__text"):
-        words = Words(batch.column("__text"), WORD_BYTES)
-        tokens = words.array()
+        shard = Shard(batch.column("__text"), (block.vocabulary for block in read()))
+        words = shard.words
         n = batch.num_rows
         owner = np.repeat(np.arange(n), words.counts)
         firsts, lasts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         items: dict[int, set[str | None]] = {}
-        for number in range(blocks):
-            block = kept if blocks == 1 else Block.read(path, number, window)
-            if block is None or not len(tokens):
-                continue
-            first, last, pattern = _hits(words, tokens, block)
+        for block in read():
+            first, last, pattern = shard.hits(block)
             firsts.append(first)
             lasts.append(last)
             for d, p in np.unique(np.stack([owner[first], pattern], axis=1), axis=0).tolist():

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyarrow import fs
 from pyspark.errors import AnalysisException
@@ -22,16 +24,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def with_row_key(docs: DataFrame, label: str = "rows") -> DataFrame:
     """``docs`` with ``__file`` and ``__row``, which name each row of a table for good.
 
-    Ids may repeat or be null; a row's place in its file does not. What is not
-    read from files is written to the shared folder first.
+    Ids may repeat or be null; a row's place in its file does not. Files are told
+    apart by their whole paths: folders of one table may hold files of equal names. What
+    is not read from files is written to the shared folder first.
     """
-    keys = {"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")}
+    keys = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
     try:
         return docs.withColumns(keys)
     except AnalysisException:
         return stored(docs, label).withColumns(keys)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Jobs run within send whole texts to Python in batches of about ``size`` bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, as a URI that tasks can open files in."""
     path = scratch_path(spark, label)

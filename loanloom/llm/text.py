@@ -98,16 +98,21 @@ class Words:
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
+KEPT_POWERS = (1 << 20) + 1
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2^64."""
-    if "up" not in _powers or _powers["up"].size < n:
+    """The first n powers of the base and of its inverse modulo 2^64.
+
+    Those of usual blocks are kept for the next call, longer ones are not.
+    """
+    held = _powers if n <= KEPT_POWERS else {}
+    if "up" not in held or held["up"].size < n:
         for key, base in (("up", _BASE), ("down", _INVERSE)):
             steps_ = np.full(max(n, 1 << 16), base, dtype=np.uint64)
             steps_[0] = 1
-            _powers[key] = np.cumprod(steps_, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+            held[key] = np.cumprod(steps_, dtype=np.uint64)
+    return held["up"][:n], held["down"][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
