@@ -60,10 +60,13 @@ def refresh_serving(spark: SparkSession, root: str, as_of: str) -> None:
     fresh = export_feature_snapshot(on_day(gold, as_of))
     withdrawn = None
     if has_table(spark, root, "serving.decision_input"):
-        served = on_day(serving_latest(spark, path, fresh.schema), as_of)
-        withdrawn = served.select(*keys).join(fresh.select(*keys), keys, "left_anti")
-        earlier = gold.filter(F.col("batch_date") < F.lit(as_of).cast("date")).join(withdrawn, keys, "left_semi")
-        fresh = fresh.unionByName(export_feature_snapshot(earlier))
+        served = on_day(serving_latest(spark, path), as_of)
+        withdrawn = served.select(*keys).join(fresh.select(*keys), keys, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+        if withdrawn.isEmpty():  # the usual day: no earlier Gold is read
+            withdrawn = None
+        else:
+            earlier = gold.filter(F.col("batch_date") < F.lit(as_of).cast("date")).join(withdrawn, keys, "left_semi")
+            fresh = fresh.unionByName(export_feature_snapshot(earlier))
     merge_latest(fresh, path, keys, order, withdrawn=withdrawn)
 
 

@@ -7,6 +7,7 @@ idempotent append adds nothing.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from loanloom.sources.landing import (
     split_unmatched,
     with_event_key,
 )
+from loanloom.sources.ledger import land_once
 from loanloom.sources.layers import has_table, read_table, table_path, write_partitioned
 
 TABLE_OF = {
@@ -91,18 +93,22 @@ def attribute(
     return split_malformed(parsed, "application_id" if source == "fraud" else "source_event_id")
 
 
-def land(spark: SparkSession, root: str, envelope: DataFrame, source: str) -> None:
-    """Append what is new; where the last delivery wins, replace what it changes."""
+def land(spark: SparkSession, root: str, envelope: DataFrame, source: str, token: str) -> None:
+    """Append what is new; where the last delivery wins, replace what it changes.
+
+    Repeats of a source whose keys hold the day are looked for in the batch's days;
+    those of the others may lie on any day, and the ledger knows them. ``token`` names
+    the batch, and is the same if the batch is replayed.
+    """
     table = TABLE_OF[source]
     keys, keep = IDEMPOTENCY[source]
-    days = None
-    if "ingest_date" in keys:
-        # Repeats are looked for in the days of this batch only.
-        days = envelope.agg(F.min("ingest_date").alias("lo"), F.max("ingest_date").alias("hi")).first()
+    if "ingest_date" not in keys:
+        land_once(spark, root, table, source, envelope, token, lambda rows: write_partitioned(rows, root, table))
+        return
+    days = envelope.agg(F.min("ingest_date").alias("lo"), F.max("ingest_date").alias("hi")).first()
 
     def held() -> DataFrame:
-        whole = read_table(spark, root, table)
-        return whole if days is None else whole.filter(F.col("ingest_date").between(F.lit(days.lo), F.lit(days.hi)))
+        return read_table(spark, root, table).filter(F.col("ingest_date").between(F.lit(days.lo), F.lit(days.hi)))
 
     if keep == "last":
         existing = held()
@@ -132,7 +138,9 @@ def land_exceptions(spark: SparkSession, root: str, exceptions: DataFrame, sourc
     table = "bronze.ingest_exceptions"
     if has_table(spark, root, table):
         held = spark.read.schema(rows.schema).parquet(table_path(root, table))
-        held = held.filter(F.col("source_system") == source)
+        # The same arrival time means the same day: earlier days hold no repeat of these rows.
+        days = rows.agg(F.min("ingest_date").alias("lo"), F.max("ingest_date").alias("hi")).first()
+        held = held.filter((F.col("source_system") == source) & F.col("ingest_date").between(F.lit(days.lo), F.lit(days.hi)))
         same = [rows[c].eqNullSafe(held[c]) for c in rows.columns]
         rows = rows.join(held, same, "left_anti")
     rows.write.mode("append").partitionBy("source_system", "ingest_date").parquet(table_path(root, table))
@@ -151,6 +159,7 @@ def stream_bronze(
     ``lookup_side`` is called per micro-batch, so a request logged meanwhile is
     found. The default trigger empties the backlog and stops.
     """
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -159,7 +168,7 @@ def stream_bronze(
         try:
             few = side is not None and parsed.count() <= FEW_RECORDS
             records, exceptions = attribute(parsed, source, side, few)
-            land(spark, root, conform(bronze_envelope(records, source), TABLE_OF[source]), source)
+            land(spark, root, conform(bronze_envelope(records, source), TABLE_OF[source]), source, f"{stream_id}-{batch_id}")
             land_exceptions(spark, root, exceptions, source)
         finally:
             parsed.unpersist()

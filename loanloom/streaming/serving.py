@@ -5,30 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from loanloom.operators.keys import latest_per_key
-
-BUCKETS = 64
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def _bucket_count(spark: SparkSession, path: str, buckets: int) -> None:
-    """Keep the number of buckets beside the copy; refuse to merge under another one."""
-    note = f"{path.rstrip('/')}.buckets"
-    if _exists(spark, note):
-        held = int(spark.read.text(note).first()[0])
-        if held != buckets:
-            raise ValueError(f"{path} has {held} buckets, not {buckets}")
-    else:
-        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode("overwrite").text(note)
-
+from loanloom.sources.runs import BUCKETS, RunTable
 
 def merge_latest(
     batch: DataFrame,
@@ -38,48 +18,21 @@ def merge_latest(
     buckets: int = BUCKETS,
     withdrawn: DataFrame | None = None,
 ) -> None:
-    """Merge a batch into the copy, rewriting only the hash buckets it touches.
+    """Add a batch to the copy as a run of its own; readers see each key's latest row.
 
-    Merging the same batch again changes nothing, so a replay is safe. Rows of
-    the keys in ``withdrawn`` leave the copy, unless the batch brings them again.
-    A copy written with another number of buckets is refused.
+    What is written grows with the batch, not with the copy. Adding the same batch
+    again changes nothing that is read, so a replay is safe. Rows of the keys in
+    ``withdrawn`` leave the copy, unless the batch brings them again. A copy written
+    with other keys, order or number of buckets is refused.
     """
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    merged = latest_per_key(batch, keys, order).withColumn("bucket", bucket)
-    known = _exists(spark, path)
-    _bucket_count(spark, path, buckets)
-    if known:
-        keyed = merged.select("bucket")
-        if withdrawn is not None:
-            keyed = keyed.union(withdrawn.select(bucket))
-        touched = [row[0] for row in keyed.distinct().collect()]  # at most ``buckets``
-        held = spark.read.schema(merged.schema).parquet(path).filter(F.col("bucket").isin(touched))
-        if withdrawn is not None:
-            held = held.join(withdrawn.select(*keys).distinct(), list(keys), "left_anti")
-        merged = latest_per_key(merged.unionByName(held.select(*merged.columns)), [*keys, "bucket"], order)
-    emptied = set()
-    if known and withdrawn is not None:
-        emptied = set(touched) - {row[0] for row in merged.select("bucket").distinct().collect()}
-    _write_buckets(merged, path)
-    for bucket in emptied:  # left without rows, such a bucket would keep its old files
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={bucket}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _write_buckets(merged: DataFrame, path: str) -> None:
-    (
-        merged.hint("rebalance", "bucket")
-        .write.partitionBy("bucket")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    copy = RunTable(batch.sparkSession, path)
+    copy.create(batch.schema, keys, order, buckets)
+    copy.append(latest_per_key(batch, keys, order), withdrawn)
 
 
-def serving_latest(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path).drop("bucket")
+def serving_latest(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """The copy's latest row of each key; with ``wanted``, read from the buckets of its keys only."""
+    return RunTable(spark, path).read(wanted)
 
 
 def stream_serving_latest(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loanloom.plans import ecl_run, gold_run, silver_run
 from loanloom.schemas import conform
 from loanloom.sources.landing import bronze_envelope
+from loanloom.streaming.serving import serving_latest
 from loanloom.sources.layers import read_layer, read_table, table_path, write_partitioned
 from loanloom.sources.sample_views import AS_OF, view
 
@@ -59,7 +60,7 @@ def test_bronze_to_gold(spark, tmp_path):
     assert tuple(counts) == (3, 2)
     assert read_table(spark, root, "silver.match_audit").count() == 8
     assert read_table(spark, root, "gold.dq_scorecard").count() == 9
-    assert spark.read.parquet(table_path(root, "serving.decision_input")).count() == 1
+    assert serving_latest(spark, table_path(root, "serving.decision_input")).count() == 1
 
     # Next day: nothing new landed, so nothing is conformed a second time.
     silver_run.run_silver(spark, root, "2001-07-01")
@@ -102,7 +103,7 @@ def gold_rows(spark, rows):
 
 
 def serving(spark, root):
-    rows = spark.read.parquet(table_path(root, "serving.decision_input")).collect()
+    rows = serving_latest(spark, table_path(root, "serving.decision_input")).collect()
     return {r.application_id: r.aecb_score for r in rows}
 
 
