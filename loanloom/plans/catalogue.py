@@ -786,6 +786,7 @@ def _warning_metrics(v) -> DataFrame:
         .unionByName(warnings.warn_duplicate_rate(v.request_table))
         .unionByName(warnings.warn_fraud_score_drift_psi(v.fraud_scores))
         .unionByName(warnings.warn_bureau_arrival_lag(_lagged(v), "submitted_at", "aecb_received_at"))
+        .unionByName(warnings.warn_manual_review_queue_age(_review_queue(v), AS_OF + " 06:00:00", "waiting_since"))
     )
 
 

@@ -566,9 +566,8 @@ CHECKS: dict[str, str] = {
         for r in BLOCKING
     )
     + f"""\nUNION ALL SELECT 'internal', '{AS_OF}', rule_name, 'WARNING', NULL, NULL, NULL,
-          CASE severity WHEN 'OK' THEN 100 WHEN 'WARN' THEN 50 ELSE 0 END FROM o_metrics
-          WHERE rule_name <> 'manual_review_queue_age_hours'""",
-    "raise_alerts": "SELECT * FROM o_metrics WHERE severity <> 'OK' AND rule_name <> 'manual_review_queue_age_hours'",
+          CASE severity WHEN 'OK' THEN 100 WHEN 'WARN' THEN 50 ELSE 0 END FROM o_metrics""",
+    "raise_alerts": "SELECT * FROM o_metrics WHERE severity <> 'OK'",
     "dup_count": """SELECT bronze_id, application_id, count(*) OVER (PARTITION BY application_id) AS duplicate_count FROM bureau_answers""",
     "pct_of_month": f"SELECT product_type, decision_month, decision_outcome, pct_of_month FROM ({_PCT_OF_MONTH}) q",
     "pct_of_product": f"SELECT product_type, delinquency_bucket, pct_of_product FROM ({_DELINQUENCY}) q",

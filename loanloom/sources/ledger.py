@@ -16,7 +16,7 @@ from loanloom.sources.landing import IDEMPOTENCY, dedupe_batch, with_event_key
 from loanloom.sources.layers import has_table, read_table, table_path
 from loanloom.sources.runs import RunTable
 
-BUCKETS = 256
+BUCKETS = 64
 
 
 def ledger_of(spark: SparkSession, root: str, table: str, source: str) -> RunTable:

@@ -227,7 +227,7 @@ VIEWS["gold_request"] = """
 SELECT application_id, internal_uuid, order_date AS application_date,
        CAST(300 + k * 17 % 600 AS INT) AS aecb_score, CAST(k * 31 % 100 AS INT) AS fraud_score,
        CASE WHEN k % 13 = 0 THEN 'FLAGGED' ELSE 'CLEAR' END AS aml_status, order_date AS batch_date
-FROM applications WHERE price >= 50000
+FROM applications
 """
 
 VIEWS["decisions"] = """
