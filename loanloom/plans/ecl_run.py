@@ -34,7 +34,7 @@ def run_stages(
     )
     prior = read_table(spark, root, "ecl.exposure_stage_history")
     rows = write_stage_history(recommended, prior, overrides, rebuttals, reporting_date)
-    write_partitioned(rows, root, "ecl.exposure_stage_history", mode="replay")
+    write_partitioned(rows, root, "ecl.exposure_stage_history", mode="replay", as_of=reporting_date)
 
 
 def run_provisions(spark: SparkSession, root: str, reporting_date: str, overlays: DataFrame) -> DataFrame:
@@ -59,11 +59,11 @@ def run_provisions(spark: SparkSession, root: str, reporting_date: str, overlays
 
     figures = scenario_ecl(by_period)
     write_partitioned(
-        write_ecl_calculation(figures, overlays, reporting_date), root, "ecl.ecl_calculation", mode="replay"
+        write_ecl_calculation(figures, overlays, reporting_date), root, "ecl.ecl_calculation", mode="replay", as_of=reporting_date
     )
     write_partitioned(
         write_lifetime_detail(period_shortfalls(by_period), reporting_date),
-        root, "ecl.ecl_lifetime_period_detail", mode="replay",
+        root, "ecl.ecl_lifetime_period_detail", mode="replay", as_of=reporting_date,
     )
     return coverage_check(history, figures, reporting_date)
 

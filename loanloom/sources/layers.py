@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.operators.keys import latest_per_key
 from loanloom.schemas import PARTITION_COLUMNS, conform, schema_of
+from loanloom.sources.runs import RunTable
 
 
 def table_path(root: str, table: str) -> str:
@@ -91,16 +95,43 @@ def _files(spark: SparkSession, folder: str) -> set[str]:
 
 
 def merge_partitioned(df: DataFrame, root: str, table: str, keys: Sequence[str]) -> None:
-    """Put rows over those of the same key, keeping all others of the partitions they fall in.
+    """Put rows over those of the same key, wherever those lie, keeping all others.
 
-    For tables that are not partitioned by run date: a partition holds rows of
-    several runs, and a replay must not take the other runs' rows away.
+    For tables that are not partitioned by run date. An index beside the table says in
+    which partition each key's row lies, so that a row that moved leaves its old
+    partition, and only the partitions of old and new rows are read and written.
     """
-    columns = list(PARTITION_COLUMNS[table])
-    rows = conform(df, table)
-    held = read_table(df.sparkSession, root, table).join(rows.select(*columns).distinct(), columns, "left_semi")
-    kept = held.join(rows.select(*keys).distinct(), list(keys), "left_anti").select(*rows.columns)
-    write_partitioned(rows.unionByName(kept), root, table, mode="replay")
+    spark, columns = df.sparkSession, list(PARTITION_COLUMNS[table])
+    rows = conform(df, table).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        index = RunTable(spark, f"{table_path(root, table)}_places")
+        place = [*dict.fromkeys([*keys, *columns])]
+        if index.manifest() is None:
+            held = read_table(spark, root, table).select(*place).distinct().withColumn("version", F.lit(0).cast("long"))
+            index.create(held.schema, keys, ["version"])
+            index.append(held)
+        wanted = rows.select(*keys).distinct()
+        same = [wanted[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
+        known = index.read(wanted).select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(c).alias(f"__at_{c}") for c in columns])
+        old = wanted.join(known, same).select(*[F.col(f"__at_{c}").alias(c) for c in columns])
+        touched = old.union(rows.select(*columns)).distinct().collect()  # partitions, at most as many as the table has
+        if not touched:
+            return
+        there = reduce(or_, (reduce(and_, (F.col(c).eqNullSafe(F.lit(r[c])) for c in columns)) for r in touched))
+        others = read_table(spark, root, table).filter(there)
+        kept = others.join(wanted, [others[k].eqNullSafe(wanted[k]) for k in keys], "left_anti").select(*rows.columns)
+        left = {tuple(r) for r in rows.select(*columns).union(kept.select(*columns)).distinct().collect()}
+        version = F.lit(index.manifest().version).cast("long")
+        write_partitioned(rows.unionByName(kept), root, table, mode="replay")
+        index.append(rows.select(*place).withColumn("version", version))
+        for row in touched:
+            if tuple(row) not in left:  # every row moved away
+                escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+                folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else escaped(str(row[c]))}" for c in columns)
+                path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path(root, table)}/{folder}")
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    finally:
+        rows.unpersist()
 
 
 def export_feature_snapshot(assembled: DataFrame, keys: Sequence[str] = ("application_id",)) -> DataFrame:

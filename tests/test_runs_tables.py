@@ -172,3 +172,37 @@ def test_a_ledger_is_filled_from_bronze_that_came_first(spark, tmp_path):
     assert landed(spark, root) == list(range(8))
     assert os.path.exists(table_path(root, "bronze.aml") + "_ledger")
     assert IDEMPOTENCY["aml"][0] == ("event_key",) and "event_key" not in TABLES["bronze.aml"]
+
+
+# --- merging by key over all partitions -------------------------------------
+
+
+def facts(spark, rows):
+    made = spark.createDataFrame(rows, "application_id STRING, product_type STRING, decision_date STRING, aecb_score INT")
+    return conform(made.withColumn("decision_date", F.col("decision_date").cast("date")), "gold.lending_applications")
+
+
+def test_a_row_that_moves_leaves_its_old_partition(spark, tmp_path):
+    from loanloom.sources.layers import merge_partitioned
+
+    root, table_ = str(tmp_path), "gold.lending_applications"
+    read = lambda: sorted((r.application_id, str(r.decision_date), r.aecb_score) for r in read_table(spark, root, table_).collect())
+    write_partitioned(facts(spark, [("A0", "card: x", "2001-06-29", 1)]), root, table_)  # before there was an index
+    merge_partitioned(facts(spark, [("A1", "bnpl", "2001-06-30", 1), ("A2", "bnpl", "2001-06-30", 2)]), root, table_, ["application_id"])
+    merge_partitioned(facts(spark, [("A1", "bnpl", "2001-07-01", 3)]), root, table_, ["application_id"])
+    assert read() == [("A0", "2001-06-29", 1), ("A1", "2001-07-01", 3), ("A2", "2001-06-30", 2)]
+    merge_partitioned(facts(spark, [("A0", "bnpl", "2001-07-01", 9)]), root, table_, ["application_id"])  # its partition is left empty
+    merge_partitioned(facts(spark, []), root, table_, ["application_id"])
+    assert read() == [("A0", "2001-07-01", 9), ("A1", "2001-07-01", 3), ("A2", "2001-06-30", 2)]
+    for _ in range(2):
+        merge_partitioned(facts(spark, [("A1", "bnpl", "2001-06-30", 4)]), root, table_, ["application_id"])
+    assert read() == [("A0", "2001-07-01", 9), ("A1", "2001-06-30", 4), ("A2", "2001-06-30", 2)]
+
+
+def test_an_empty_reporting_date_keeps_no_provisions(spark, tmp_path):
+    root, table_ = str(tmp_path), "ecl.ecl_calculation"
+    row = conform(spark.createDataFrame([("L1", "2001-06-30")], "loan_id STRING, day STRING").selectExpr(
+        "loan_id", "CAST(day AS DATE) AS batch_date"), table_)
+    write_partitioned(row, root, table_, mode="replay", as_of="2001-06-30")
+    write_partitioned(row.filter("false"), root, table_, mode="replay", as_of="2001-06-30")
+    assert read_table(spark, root, table_).count() == 0
