@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions.quality import classify_severity
+from loanloom.operators.quantiles import by_ranges, exact_quantiles
 
 # Warn and page threshold of each metric.
 COMPLETENESS_THRESHOLDS = (0.95, 0.90)
@@ -67,15 +68,24 @@ def _bin_of(edges: Column, score: Column) -> Column:
     return F.size(F.filter(edges, lambda edge: edge < score))
 
 
+#: Integers between the least and the greatest score up to which one task takes all frequencies.
+FEW_VALUES = 1 << 18
+
+
 def _exact_bins(known: DataFrame, quantiles: list[float]) -> DataFrame:
     """Bin counts through the score frequencies.
 
-    One scan: rows are counted per score before the shuffle, and everything
-    after works on at most as many entries as the integer score has values.
+    Rows are counted per score before the shuffle. Few possible scores are handled as one
+    array in one plan; else the quantiles come from ranges of the scores, and the bins are
+    counted where the frequencies lie. Both give the same numbers.
     """
     frequencies = known.groupBy("score").agg(
         F.count_if("is_baseline").alias("expected"), F.count_if(~F.col("is_baseline")).alias("actual")
     )
+    if not isinstance(known.schema["score"].dataType, (T.ByteType, T.ShortType)):
+        least, most = known.agg(F.min("score"), F.max("score")).first()
+        if least is not None and most - least >= FEW_VALUES:
+            return _ranged_bins(by_ranges(frequencies, "score"), quantiles)
     whole = frequencies.agg(
         F.percentile("score", F.array(*map(F.lit, quantiles)), F.col("expected")).alias("cuts"),
         F.collect_list(F.struct("score", "expected", "actual")).alias("table"),
@@ -88,6 +98,14 @@ def _exact_bins(known: DataFrame, quantiles: list[float]) -> DataFrame:
     )
 
 
+def _ranged_bins(ranged: DataFrame, quantiles: list[float]) -> DataFrame:
+    cuts = exact_quantiles(ranged, "score", "expected", quantiles)
+    edges, has_bins = _inner_edges(F.array(*map(F.lit, cuts)) if cuts else F.lit(None).cast("array<double>"))
+    return ranged.groupBy(_bin_of(edges, F.col("score")).alias("bin"), has_bins.alias("has_bins")).agg(
+        F.sum("expected").alias("expected"), F.sum("actual").alias("actual")
+    )
+
+
 def _approximate_bins(known: DataFrame, quantiles: list[float], accuracy: int) -> DataFrame:
     """Bin counts with edges from a mergeable quantile sketch: two scans, nothing per value."""
     cuts = known.filter("is_baseline").agg(F.percentile_approx("score", quantiles, accuracy).alias("cuts"))
@@ -111,9 +129,8 @@ def warn_fraud_score_drift_psi(
 ) -> DataFrame:
     """Population Stability Index over baseline-quantile bins.
 
-    Scores are declared as integers and get exact quantiles. A fractional score
-    can have unboundedly many values: for it pass ``approximate``, the accuracy
-    of ``percentile_approx``.
+    Scores are declared as integers and get exact quantiles, however many values they
+    have. A fractional score needs ``approximate``, the accuracy of ``percentile_approx``.
     """
     if approximate is None and not isinstance(scores.schema[score].dataType, T.IntegralType):
         raise ValueError("exact quantiles need an integer score; pass approximate=<accuracy> otherwise")

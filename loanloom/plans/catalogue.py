@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ from loanloom.operators import (
 )
 from loanloom.session import scratch_path, tune
 from loanloom.sizing import small_side
-from loanloom.sources import dimensions, landing, layers
+from loanloom.sources import dimensions, landing, layers, profile
+from loanloom.sources.runs import RunTable
 from loanloom.sources.sample_views import AS_OF, table, view
 from loanloom.streaming import landing_streams, serving
 
@@ -703,6 +705,20 @@ def profile_current(v):
     return landing.profile_current(v.cdc_log)
 
 
+@query
+def profile_refresh(v):
+    """The change log lands in three portions, and the table follows each; a second refresh adds nothing."""
+    root = scratch_path(v.spark, "profile")
+    days = ["0001-01-01", "2024-01-11", "2024-01-21", "9999-12-31"]
+    for since, until in pairwise(days):
+        portion = v.cdc_log.filter(f"ingest_date >= DATE '{since}' AND ingest_date < DATE '{until}'")
+        layers.write_partitioned(portion, root, "bronze.internal_profile")
+        for _ in range(2):
+            profile.refresh_profile(v.spark, root)
+    held = RunTable(v.spark, layers.table_path(root, profile.TABLE)).read()
+    return held.select("internal_uuid", *profile.ORDER)
+
+
 @query
 def current_stage(v):
     return staging.current_stage(v.stage_history)
@@ -753,6 +769,14 @@ def warn_fraud_score_drift_psi(v):
     return warnings.warn_fraud_score_drift_psi(v.fraud_scores)
 
 
+@query
+def warn_score_drift_wide(v):
+    """Scores of many values: their quantiles come from ranges."""
+    fine = F.floor(F.col("value") * 10000).cast("bigint").alias("fraud_score")
+    events = v.table("events").select(fine, (F.col("ts") < F.lit("2024-01-16").cast("timestamp")).alias("is_baseline"))
+    return warnings.warn_fraud_score_drift_psi(events)
+
+
 def _lagged(v) -> DataFrame:
     return v.bureau_answers.withColumn("submitted_at", F.col("batch_date").cast("timestamp"))
 

@@ -541,6 +541,10 @@ CHECKS: dict[str, str] = {
         {_stamp('source_generated_at')} AS source_generated_at, {_day('ingest_date')} AS ingest_date, raw_payload FROM (
           SELECT *, row_number() OVER (PARTITION BY internal_uuid ORDER BY source_generated_at DESC, received_at DESC,
                  source_event_id DESC) AS rn FROM cdc_log) x WHERE rn = 1""",
+    "profile_refresh": f"""SELECT internal_uuid, {_stamp('source_generated_at')} AS source_generated_at,
+        {_stamp('received_at')} AS received_at, source_event_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY internal_uuid ORDER BY source_generated_at DESC, received_at DESC,
+                 source_event_id DESC) AS rn FROM cdc_log) x WHERE rn = 1""",
     "current_stage": f"""SELECT loan_id, {_day('reporting_date')} AS reporting_date, current_stage, stage_history_id FROM (
         SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY reporting_date DESC) AS rn FROM stage_history) x WHERE rn = 1""",
     "latest_per_key": f"""SELECT loan_id, {_day('reporting_date')} AS reporting_date, current_stage FROM (
@@ -553,6 +557,19 @@ CHECKS: dict[str, str] = {
     "warn_source_completeness": "SELECT * FROM o_metrics WHERE rule_name = 'source_completeness'",
     "warn_duplicate_rate": "SELECT * FROM o_metrics WHERE rule_name = 'duplicate_rate'",
     "warn_fraud_score_drift_psi": "SELECT * FROM o_metrics WHERE rule_name = 'fraud_score_drift_psi'",
+    "warn_score_drift_wide": """WITH s AS (
+          SELECT CAST(floor(value * 10000) AS BIGINT) AS score, ts < TIMESTAMP '2024-01-16 00:00:00' AS is_baseline FROM events
+        ), edges AS (
+          SELECT list_sort(list_distinct(list_transform(quantile_cont(CAST(score AS DOUBLE),
+                 [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]), lambda x: round(x, 9))))[2:-2] AS inside FROM s WHERE is_baseline
+        ), bins AS (
+          SELECT len(list_filter(inside, lambda e: e < score)) AS bin, count(*) FILTER (WHERE is_baseline) AS expected,
+                 count(*) FILTER (WHERE NOT is_baseline) AS actual FROM s, edges GROUP BY 1
+        ), shares AS (
+          SELECT greatest(expected / sum(expected) OVER (), 1e-6) AS e, greatest(actual / sum(actual) OVER (), 1e-6) AS a FROM bins
+        ), psi AS (SELECT sum((a - e) * ln(a / e)) AS psi FROM shares)
+        SELECT 'fraud_score_drift_psi' AS rule_name, round(psi, 4) AS metric_value, 0.1e0 AS warn_threshold, 0.2e0 AS page_threshold,
+               CASE WHEN psi >= 0.2e0 THEN 'PAGE' WHEN psi >= 0.1e0 THEN 'WARN' ELSE 'OK' END AS severity FROM psi""",
     "warn_bureau_arrival_lag": "SELECT * FROM o_metrics WHERE rule_name = 'aecb_arrival_lag_hours'",
     "warn_manual_review_queue_age": "SELECT * FROM o_metrics WHERE rule_name = 'manual_review_queue_age_hours'",
     "bureau_arrival_lag": """SELECT bronze_id, round(lag, 2) AS lag_hours,

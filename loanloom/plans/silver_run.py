@@ -16,8 +16,8 @@ from loanloom.operators.conform import (
     score_aml,
 )
 from loanloom.operators.identity import audit_aecb, audit_aml, audit_fraud, join_profile, union_match_audit
-from loanloom.sources.landing import parse_profile, profile_current
 from loanloom.sources.layers import incremental_slice, read_table, write_partitioned
+from loanloom.sources.profile import current_profile, refresh_profile
 
 VENDORS = ("aecb", "fraud", "aml")
 
@@ -36,7 +36,9 @@ def newly_landed(spark: SparkSession, root: str, source: str, as_of: str) -> Dat
 
 def run_silver(spark: SparkSession, root: str, as_of: str) -> None:
     """Conform the newly landed rows, audit them, and assemble the day's applications."""
-    profile = parse_profile(profile_current(read_table(spark, root, "bronze.internal_profile")))
+    refresh_profile(spark, root)
+    # Read once for its five readers.
+    profile = current_profile(spark, root).persist(StorageLevel.MEMORY_AND_DISK)
     landed = {source: newly_landed(spark, root, source, as_of) for source in VENDORS}
     # Name matching is the one costly step: its result serves two tables.
     scored = score_aml(landed["aml"], profile).persist(StorageLevel.MEMORY_AND_DISK)
@@ -56,6 +58,7 @@ def run_silver(spark: SparkSession, root: str, as_of: str) -> None:
         write_partitioned(audit, root, "silver.match_audit", mode="replay", as_of=as_of)
     finally:
         scored.unpersist()
+        profile.unpersist()
 
     sides = [read_table(spark, root, f"silver.{source}_conformed") for source in VENDORS]
     request = assemble_application_request(*sides, as_of)

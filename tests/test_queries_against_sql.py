@@ -4,9 +4,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from loanloom.plans.catalogue import REGISTRY as QUERIES
+from loanloom.plans.checks import CHECKS, check_sql
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = {key: check_sql(key) for key in CHECKS}
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,10 @@ def test_query(key, spark, con, sf_dir):
     assert rows > 0
 
 
+def test_entry_registers_them_all():
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).columns == [
         "product_type", "decision_month", "decision_outcome", "decision_count", "pct_of_month",

@@ -130,8 +130,10 @@ CASES = {
 }
 
 
+@pytest.mark.parametrize("few", [1 << 18, 0])
 @pytest.mark.parametrize("name", CASES)
-def test_psi_against_brute_force(spark, name):
+def test_psi_against_brute_force(spark, name, few, monkeypatch):
+    monkeypatch.setattr(warnings, "FEW_VALUES", few)  # by one array, and by ranges
     baseline, current = CASES[name]
     rows = [(x, True) for x in baseline] + [(x, False) for x in current] + [(None, True), (None, False)]
     df = spark.createDataFrame(rows, "fraud_score INT, is_baseline BOOLEAN")
@@ -151,3 +153,30 @@ def test_psi_of_fractional_scores_needs_a_sketch(spark):
         warnings.warn_fraud_score_drift_psi(df)
     row = warnings.warn_fraud_score_drift_psi(df, approximate=10000).first()
     assert row.metric_value == pytest.approx(brute_psi(base, cur), abs=0.01)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 1000])
+def test_quantiles_by_ranges(spark, n):
+    from loanloom.operators.quantiles import by_ranges, exact_quantiles
+
+    rng = np.random.default_rng(n)
+    values = rng.integers(-(1 << 50), 1 << 50, n) if n > 7 else np.arange(n) * 10
+    weight = rng.integers(0, 4, n) if n > 7 else np.ones(n, int)
+    rows = spark.createDataFrame([(int(v), int(w)) for v, w in zip(values, weight, strict=True)], "v BIGINT, w BIGINT")
+    found = exact_quantiles(by_ranges(rows, "v"), "v", "w", [0, 0.1, 0.25, 0.5, 0.9, 1])
+    every = np.repeat(values, weight)
+    want = np.quantile(every.astype(float), [0, 0.1, 0.25, 0.5, 0.9, 1]) if every.size else None
+    assert found is None if want is None else found == pytest.approx(want, rel=1e-12, abs=1e-9)
+
+
+def test_no_task_takes_all_values(spark):
+    """Many values: the only window is within a range, and nothing is gathered into an array."""
+    from loanloom.operators.quantiles import by_ranges
+
+    wide = spark.range(50_000).selectExpr("id * 1000003 AS fraud_score", "id % 2 = 0 AS is_baseline")
+    plan = warnings.warn_fraud_score_drift_psi(wide)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "percentile" not in plan
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one range
+    sizes = by_ranges(wide, "fraud_score").groupBy("__part").count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 50_000 * 0.6

@@ -206,3 +206,41 @@ def test_an_empty_reporting_date_keeps_no_provisions(spark, tmp_path):
     write_partitioned(row, root, table_, mode="replay", as_of="2001-06-30")
     write_partitioned(row.filter("false"), root, table_, mode="replay", as_of="2001-06-30")
     assert read_table(spark, root, table_).count() == 0
+
+
+# --- the current profile ----------------------------------------------------
+
+
+def change(uuid, event, day, at, phone):
+    return (uuid, event, f"{day} 08:00:00", f"{at} 00:00:00", '{"phone": "%s"}' % phone)
+
+
+def log_changes(spark, root, rows):
+    made = spark.createDataFrame(rows, "internal_uuid STRING, source_event_id STRING, r STRING, g STRING, raw_payload STRING").selectExpr(
+        "internal_uuid", "source_event_id", "CAST(NULL AS STRING) AS application_id", "CAST(r AS TIMESTAMP) AS received_at",
+        "CAST(g AS TIMESTAMP) AS source_generated_at", "raw_payload")
+    write_partitioned(conform(bronze_envelope(made, "internal"), "bronze.internal_profile"), root, "bronze.internal_profile")
+
+
+def test_profile_follows_the_log_by_its_new_days(spark, tmp_path, monkeypatch):
+    from loanloom.sources import profile
+
+    root = str(tmp_path)
+    phones = lambda wanted=None: {r.internal_uuid: r.phone for r in profile.current_profile(spark, root, wanted).collect()}
+    profile.refresh_profile(spark, root)  # before anything landed
+    assert phones() == {}
+    log_changes(spark, root, [change("U1", "1", "2001-06-01", "2001-06-01", "a"), change("U2", "2", "2001-06-01", "2001-06-01", "b")])
+    for _ in range(2):
+        profile.refresh_profile(spark, root)
+        assert phones() == {"U1": "a", "U2": "b"}
+    # a newer change, one that was generated before the held one, and a new customer
+    log_changes(spark, root, [change("U1", "3", "2001-06-20", "2001-06-20", "c"), change("U2", "4", "2001-06-20", "2001-05-01", "old"),
+                              change("U3", "5", "2001-06-20", "2001-06-20", "d")])
+    log_changes(spark, root, [change("U3", "6", "2001-06-19", "2001-06-21", "late file")])
+    seen = []
+    monkeypatch.setattr(profile, "_images", lambda log, f=profile._images: seen.append(log) or f(log))
+    profile.refresh_profile(spark, root)
+    assert phones() == {"U1": "c", "U2": "b", "U3": "late file"}
+    plan = seen[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "ingest_date" in plan.split("PartitionFilters: [")[1].split("]")[0]  # no day before is read
+    assert phones(spark.createDataFrame([("U3",)], "internal_uuid STRING"))["U3"] == "late file"
