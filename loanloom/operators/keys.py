@@ -24,6 +24,23 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return _pick(df, keys, F.min_by, order)
 
 
+def in_force(rows: DataFrame, key: str, as_of: str) -> DataFrame:
+    """The one row of each key that holds on a day.
+
+    A row holds from ``valid_from`` to ``valid_to``, both included; a missing column or value
+    is an open end. Of several, the one that began last counts (then the greatest by its other
+    columns), so a key never has two.
+    """
+    day = F.lit(as_of).cast("date")
+    open_end = F.lit(None).cast("date")
+    since, until = (F.col(c).cast("date") if c in rows.columns else open_end for c in ("valid_from", "valid_to"))
+    live = rows.withColumns({"__since": since, "__until": until}).filter(
+        (F.col("__since").isNull() | (F.col("__since") <= day)) & (F.col("__until").isNull() | (F.col("__until") >= day))
+    )
+    rest = [c for c in rows.columns if c != key]
+    return latest_per_key(live.drop("__until"), [key], ["__since", *rest]).drop("__since")
+
+
 def _pick(df: DataFrame, keys: Sequence[str], pick, order: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     chosen = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias(_ROW))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.credit import discount_factor, money
 from loanloom.functions.text import name_uuid
+from loanloom.operators.keys import in_force, latest_per_key
 from loanloom.schemas import conform
 from loanloom.sizing import small_side
 
@@ -179,6 +180,28 @@ def per_scenario(
     return scenario_ecl(parameters_by_period(params, terms, with_ids))
 
 
+#: What tells one parameter of a reporting date from another, whichever version it is.
+PARAMETER = ("reporting_date", "loan_id", "scenario_id", "parameter_type", "horizon_type", "period_number")
+
+
+def parameters_known(params: DataFrame, reporting_date: str, known_at: str) -> DataFrame:
+    """A reporting date's parameters as they were known on a day.
+
+    A parameter has two times: the date it is about (``reporting_date``) and the day it was
+    delivered (``batch_date``). Of the versions delivered until ``known_at`` the last one counts;
+    those of one day go by model version, then id.
+    """
+    known = _on(params, reporting_date).filter(F.col("batch_date") <= F.lit(known_at).cast("date"))
+    return latest_per_key(known, PARAMETER, ["batch_date", "model_version", "parameter_id"])
+
+
+def reproduce_ecl(
+    history: DataFrame, params: DataFrame, scenarios: DataFrame, terms: DataFrame, reporting_date: str, known_at: str
+) -> DataFrame:
+    """The scenario ECL of a reporting date, computed again from what was known on a day."""
+    return per_scenario(history, parameters_known(params, reporting_date, known_at), scenarios, terms, reporting_date)
+
+
 def scenario_pivot(value: str = "scenario_ecl") -> list[Column]:
     """One aggregate column per conventional scenario."""
     return [
@@ -279,8 +302,10 @@ def write_ecl_calculation(scenarios: DataFrame, overlays: DataFrame, reporting_d
     The weighted sums come from a window over a loan's scenarios (one row each,
     so it is as short as the scenario set); the loan's first row then also emits
     the booked row. The scenario figures are computed once and nothing but them
-    is sorted. The overlay stays a column of its own, on the booked row.
+    is sorted. The overlay stays a column of its own, on the booked row; of a loan's
+    overlays the one in force on the date counts.
     """
+    overlays = in_force(overlays, "loan_id", reporting_date)
     ids = ("pd_parameter_id", "lgd_parameter_id", "ead_parameter_id")
     of_loan = Window.partitionBy(*_LOAN)
     is_first = F.row_number().over(of_loan.orderBy("scenario_id")) == 1
@@ -342,6 +367,44 @@ def coverage_check(history: DataFrame, scenarios: DataFrame, reporting_date: str
     )
 
 
+def period_gaps(params: DataFrame) -> DataFrame:
+    """Runs of periods for which a stage 2 loan has no PD, or no EAD, in a scenario.
+
+    ``params`` comes from `staged_parameters`. A loan's periods go from 1 to the last that any
+    of its parameters names; a point EAD serves every period. Such a period adds nothing to the
+    lifetime loss, and the loan's scenarios still carry their full weight. One row per run:
+    its first and last period and their number. A loan with no period at all has no row here
+    (it has no loss, which `coverage_check` reports).
+    """
+    period, kind = F.col("period_number"), F.col("parameter_type")
+    keys = ["loan_id", "scenario_id", "scenario_name"]
+    used = params.filter((F.col("current_stage") == 2) & kind.isin("PD", "EAD"))
+    # A set of periods is as long as the term, however often a parameter is repeated.
+    found = used.groupBy(*keys).agg(
+        F.collect_set(F.when(kind == "PD", period)).alias("PD"),
+        F.collect_set(F.when(kind == "EAD", period)).alias("EAD"),
+        F.max((kind == "EAD") & period.isNull()).alias("point"),
+    )
+    last = used.groupBy(F.col("loan_id").alias("__loan")).agg(F.max(period).alias("last")).filter("last IS NOT NULL")
+    both = F.array(
+        F.struct(F.lit("PD").alias("parameter_type"), F.col("PD").alias("held")),
+        F.struct(F.lit("EAD").alias("parameter_type"), F.when(~F.col("point"), F.col("EAD")).alias("held")),
+    )
+    each = (
+        found.join(last, F.col("loan_id") == F.col("__loan"))
+        .select(*keys, "last", F.explode(both).alias("k"))
+        .select(*keys, "k.parameter_type", F.concat(F.array(F.lit(0)), F.array_sort("k.held"), F.array(F.col("last") + 1)).alias("at"))
+    )
+    before = F.slice("at", F.lit(1), F.size("at") - 1)
+    after = F.slice("at", F.lit(2), F.size("at") - 1)
+    steps = F.zip_with(before, after, lambda a, b: F.struct((a + 1).alias("first_period"), (b - 1).alias("last_period")))
+    runs = each.select(*keys, "parameter_type", F.explode(F.filter(steps, lambda s: s["first_period"] <= s["last_period"])).alias("g"))
+    return runs.select(
+        "loan_id", "scenario_name", "parameter_type", "g.first_period", "g.last_period",
+        (F.col("g.last_period") - F.col("g.first_period") + 1).alias("missing_periods"),
+    )
+
+
 def ecl_portfolio_rollup(
     calculation: DataFrame, history: DataFrame, perf: DataFrame, reporting_date: str
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.text import name_uuid
-from loanloom.operators.keys import latest_per_key
+from loanloom.operators.keys import in_force, latest_per_key
 from loanloom.schemas import conform
 from loanloom.sizing import small_side
 
@@ -203,9 +203,11 @@ def write_stage_history(
 
     A days-past-due backstop is only set aside by a rebuttal with a reason: the
     stage is then what the other triggers give. An override replaces the result
-    but the automated trigger stays recorded.
+    but the automated trigger stays recorded. Of a loan's overrides and rebuttals the one
+    in force on the date counts, so each loan gives one row.
     """
     day = F.lit(reporting_date).cast("date")
+    overrides, rebuttals = in_force(overrides, "loan_id", reporting_date), in_force(rebuttals, "loan_id", reporting_date)
     before = (
         prior.filter(F.col("reporting_date") < day)
         .groupBy("loan_id")

@@ -990,6 +990,33 @@ def coverage_check(v):
     return _rounded(rows, 4, "covered_weight").select("loan_id", "current_stage", "covered_weight")
 
 
+def _thinned_pit(v) -> DataFrame:
+    """The parameters without the PDs of two periods, the last PD, and the EADs, of some loans."""
+    k = F.substring("loan_id", 2, 12).cast("bigint")
+    pd = (F.col("parameter_type") == "PD") & F.col("period_number").isNotNull()
+    gone = (pd & (k % 7 == 0) & F.col("period_number").isin(2, 3)) | (pd & (k % 11 == 0) & (F.col("period_number") == 5))
+    no_ead = (F.col("parameter_type") == "EAD") & (k % 13 == 0) & F.coalesce(F.col("period_number") != 4, F.lit(True))
+    return v.pit.filter(~gone & ~no_ead)
+
+
+@query
+def period_gaps(v):
+    history, _, scenarios, _ = v.ecl_inputs
+    loans = provisions.loans_in_stage(history, AS_OF, (1, 2, 3))
+    return provisions.period_gaps(provisions.staged_parameters(loans, _thinned_pit(v), scenarios, AS_OF))
+
+
+@query
+def in_force(v):
+    """Decisions as overrides, the automatic ones for three thousand days, on the run date."""
+    held = v.decisions.select(
+        F.col("internal_uuid").alias("loan_id"), F.col("application_id").alias("override_approved_by"),
+        F.col("batch_date").alias("valid_from"),
+        F.when(F.col("decided_by") == "AUTO", F.date_add("batch_date", 3000)).alias("valid_to"),
+    )
+    return keys.in_force(held, "loan_id", AS_OF)
+
+
 @query
 def reproduce_as_of(v):
     return provisions.reproduce_as_of(v.pit, "v1", "2001-04-30").select(
@@ -997,6 +1024,30 @@ def reproduce_as_of(v):
     )
 
 
+@query
+def reproduce_ecl(v):
+    """A month later the exposures of some loans were restated: the figures of then, and those of now."""
+    history, pit, scenarios, terms = v.ecl_inputs
+    k = F.substring("loan_id", 2, 12).cast("bigint")
+    restated = pit.filter((F.col("reporting_date") == F.lit(AS_OF).cast("date")) & (F.col("parameter_type") == "EAD") & (k % 17 == 0))
+    restated = restated.withColumns(
+        {
+            "parameter_id": F.concat("parameter_id", F.lit("-R")),
+            "parameter_value": (F.col("parameter_value") * 2).cast("decimal(18,6)"),
+            "model_version": F.lit("v3"),
+            "batch_date": F.lit("2001-07-31").cast("date"),
+        }
+    )
+    path = scratch_path(v.spark, "restated")
+    pit.unionByName(restated).write.parquet(path)
+    both = v.spark.read.parquet(path)
+    figures = [
+        provisions.reproduce_ecl(history, both, scenarios, terms, AS_OF, day).withColumn("known_at", F.lit(day))
+        for day in (AS_OF, "2001-07-31")
+    ]
+    return _rounded(figures[0].unionByName(figures[1]), 2, "scenario_ecl").select("known_at", "loan_id", "scenario_name", "scenario_ecl")
+
+
 # --- streams over the given tables ---------------------------------------------------
 
 
@@ -1044,6 +1095,21 @@ def stream_dedupe(v):
     return v.spark.read.schema(events.schema).parquet(f"{scratch}/out").drop("ts")
 
 
+@query
+def stream_dedupe_batches(v):
+    """The events in four files, each with the last half hour of the one before; a restart after each."""
+    scratch = scratch_path(v.spark, "stream-dedupe-batches")
+    events = v.table("events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "user_id", "event_type", "ts")
+    for since, until in pairwise(["0001-01-02", "2024-01-08", "2024-01-15", "2024-01-22", "9999-12-30"]):
+        overlap = (F.col("ts") >= F.lit(since).cast("timestamp") - F.expr("INTERVAL 30 MINUTES")) & (F.col("ts") < F.lit(until).cast("timestamp"))
+        events.filter(overlap).sortWithinPartitions(F.xxhash64("event_id")).write.mode("append").parquet(f"{scratch}/in")
+        stream = v.spark.readStream.schema(events.schema).parquet(f"{scratch}/in")
+        job = landing_streams.stream_dedupe(stream, ["event_id"], "ts", "1 hour").writeStream.format("parquet")
+        job = job.option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/_checkpoint").trigger(availableNow=True)
+        job.start().awaitTermination()
+    return v.spark.read.schema(events.schema).parquet(f"{scratch}/out").drop("ts")
+
+
 @query
 def stream_serving_latest(v):
     scratch = scratch_path(v.spark, "stream-serving")

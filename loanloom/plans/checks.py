@@ -642,12 +642,41 @@ CHECKS: dict[str, str] = {
           FROM o_stage_now l LEFT JOIN o_figures f ON f.loan_id = l.loan_id
           LEFT JOIN o_perf p ON p.loan_id = l.loan_id AND p.snapshot_date = {D}
           GROUP BY l.loan_id, l.current_stage) x WHERE abs(covered_weight - 1) > 1e-6""",
+    "period_gaps": f"""WITH p AS (
+          SELECT s.loan_id, scenario_name, parameter_type AS kind, period_number AS n FROM pit
+          JOIN (SELECT loan_id FROM o_stage_now WHERE current_stage = 2) s USING (loan_id)
+          JOIN macro_scenario m ON m.scenario_id = pit.scenario_id AND m.reporting_date = {D}
+          WHERE pit.reporting_date = {D} AND parameter_type IN ('PD', 'EAD')
+            AND (parameter_type = 'EAD' OR (horizon_type = 'LIFETIME' AND period_number IS NOT NULL))
+            AND NOT (parameter_type = 'PD' AND CAST(substr(s.loan_id, 2) AS BIGINT) % 7 = 0 AND period_number IN (2, 3))
+            AND NOT (parameter_type = 'PD' AND CAST(substr(s.loan_id, 2) AS BIGINT) % 11 = 0 AND period_number = 5)
+            AND NOT (parameter_type = 'EAD' AND CAST(substr(s.loan_id, 2) AS BIGINT) % 13 = 0 AND period_number IS DISTINCT FROM 4)
+        ), wanted AS (
+          SELECT loan_id, scenario_name, kind, unnest(generate_series(1, last)) AS n
+          FROM (SELECT DISTINCT loan_id, scenario_name FROM p) l JOIN (SELECT loan_id, max(n) AS last FROM p GROUP BY 1) x USING (loan_id),
+               (VALUES ('PD'), ('EAD')) AS v(kind)
+        ), missing AS (
+          SELECT *, n - row_number() OVER (PARTITION BY loan_id, scenario_name, kind ORDER BY n) AS island FROM wanted w
+          WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.loan_id = w.loan_id AND p.scenario_name = w.scenario_name AND p.kind = w.kind
+                            AND (p.n = w.n OR (p.kind = 'EAD' AND p.n IS NULL)))
+        )
+        SELECT loan_id, scenario_name, kind AS parameter_type, min(n) AS first_period, max(n) AS last_period, count(*) AS missing_periods
+        FROM missing GROUP BY loan_id, scenario_name, kind, island""",
+    "in_force": f"""SELECT loan_id, override_approved_by, {_day('valid_from')} AS valid_from, {_day('valid_to')} AS valid_to FROM (
+          SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY valid_from DESC, override_approved_by DESC) AS rn FROM (
+            SELECT internal_uuid AS loan_id, application_id AS override_approved_by, batch_date AS valid_from,
+                   CASE WHEN decided_by = 'AUTO' THEN CAST(batch_date + INTERVAL 3000 DAY AS DATE) END AS valid_to FROM decisions) d
+          WHERE valid_from <= {D} AND (valid_to IS NULL OR valid_to >= {D})) x WHERE rn = 1""",
     "reproduce_as_of": f"""SELECT parameter_id, loan_id, model_version, {_num('parameter_value')} AS parameter_value FROM pit
         WHERE model_version = 'v1' AND batch_date = DATE '2001-04-30'""",
+    "reproduce_ecl": f"""SELECT known_at, loan_id, scenario_name, {_r('ecl * factor', 2)} AS scenario_ecl FROM o_figures,
+        (VALUES ('{AS_OF}', false), ('2001-07-31', true)) AS v(known_at, later),
+        LATERAL (SELECT CASE WHEN later AND CAST(substr(loan_id, 2) AS BIGINT) % 17 = 0 THEN 2 ELSE 1 END AS factor) f""",
     "stream_bronze": """SELECT 'internal' AS source_system, CAST(event_id AS VARCHAR) AS source_event_id,
         'U' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS internal_uuid, strftime(ts, '%Y-%m-%d') AS ingest_date,
         'sha256:' || sha256(props) AS content_hash, '1.0' AS schema_version, props AS raw_payload FROM events""",
     "stream_dedupe": "SELECT DISTINCT event_id, user_id, event_type FROM events",
+    "stream_dedupe_batches": "SELECT DISTINCT event_id, user_id, event_type FROM events",
     "stream_serving_latest": """SELECT application_id, source_system, bronze_id, value FROM (
         SELECT user_id AS application_id, event_type AS source_system, event_id AS bronze_id, value,
                row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) x WHERE rn = 1""",

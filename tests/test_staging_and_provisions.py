@@ -299,3 +299,52 @@ def test_divergence_flags(spark):
     assert [r.divergence_flag for r in rows] == ["MONITOR", "INVESTIGATE", "WITHIN_TOLERANCE", "MONITOR", "INVESTIGATE", "WITHIN_TOLERANCE"]
     assert rows[5].pct_divergence is None
     assert reconciliation.undefined_divergence(pit, ttc, scenarios, AS_OF).first().undefined_count == 1
+
+
+# --- validity, gaps, versions -------------------------------------------------
+
+
+def test_the_row_in_force(spark):
+    from loanloom.operators.keys import in_force
+
+    rows = [("A", "2001-01-01", "2001-06-29", "expired"), ("A", "2001-01-01", None, "old"), ("A", "2001-06-30", "2001-06-30", "today"),
+            ("A", "2001-07-01", None, "future"), ("B", None, None, "x"), ("B", None, None, "y"), ("C", "2001-01-01", "2001-06-29", "expired")]
+    df = spark.createDataFrame(rows, "loan_id STRING, valid_from STRING, valid_to STRING, v STRING").selectExpr(
+        "loan_id", "CAST(valid_from AS DATE) AS valid_from", "CAST(valid_to AS DATE) AS valid_to", "v")
+    assert {r.loan_id: r.v for r in in_force(df, "loan_id", AS_OF).collect()} == {"A": "today", "B": "y"}
+    bare = df.select("loan_id", "v")  # without dates every row holds, and a key still has one
+    assert {r.loan_id: r.v for r in in_force(bare, "loan_id", AS_OF).collect()} == {"A": "today", "B": "y", "C": "expired"}
+    assert in_force(df.limit(0), "loan_id", AS_OF).count() == 0
+
+
+def gaps(spark, rows):
+    params = spark.createDataFrame(
+        [(loan, stage, scenario, scenario, kind, n) for loan, stage, scenario, kind, n in rows],
+        "loan_id STRING, current_stage INT, scenario_id STRING, scenario_name STRING, parameter_type STRING, period_number INT")
+    return sorted(tuple(r) for r in provisions.period_gaps(params).collect())
+
+
+def test_period_gaps(spark):
+    pd = lambda loan, scenario, *ns: [(loan, 2, scenario, "PD", n) for n in ns]
+    ead = lambda loan, scenario, *ns: [(loan, 2, scenario, "EAD", n) for n in ns]
+    assert gaps(spark, pd("L", "S", 1, 2, 3) + ead("L", "S", None)) == []
+    assert gaps(spark, pd("L", "S", 2, 2, 5) + ead("L", "S", 1, 2, 3, 4, 5, 6)) == [
+        ("L", "S", "PD", 1, 1, 1), ("L", "S", "PD", 3, 4, 2), ("L", "S", "PD", 6, 6, 1)]
+    assert gaps(spark, pd("L", "S", 1, 2, 3) + ead("L", "S", 2)) == [("L", "S", "EAD", 1, 1, 1), ("L", "S", "EAD", 3, 3, 1)]
+    # the loan's last period is that of all its scenarios; other loans and stages play no part
+    rows = pd("L", "S", 1, 2) + pd("L", "T", 1, 2, 3) + ead("L", "S", None) + ead("L", "T", None)
+    assert gaps(spark, rows + pd("M", "S", 1) + ead("M", "S", None) + [("N", 1, "S", "PD", 3)]) == [("L", "S", "PD", 3, 3, 1)]
+    assert gaps(spark, ead("L", "S", None)) == [] and gaps(spark, []) == []
+
+
+def test_restated_parameters_are_known_from_their_day_on(spark):
+    day = lambda x: dt.date.fromisoformat(x)
+    rows = [("p1", "PD", 1, 0.1, "v1", "2001-06-30"), ("p2", "PD", 1, 0.05, "v2", "2001-07-31"), ("p3", "PD", 1, 0.2, "v3", "2001-07-31"),
+            ("p4", "LGD", None, 0.4, "v1", "2001-06-30"), ("p5", "PD", 2, 0.3, "v1", "2001-08-31")]
+    params = spark.createDataFrame(
+        [(i, "L", DAY, "S", kind, "LIFETIME", n, x, version, day(at)) for i, kind, n, x, version, at in rows],
+        "parameter_id STRING, loan_id STRING, reporting_date DATE, scenario_id STRING, parameter_type STRING, horizon_type STRING, "
+        "period_number INT, parameter_value DOUBLE, model_version STRING, batch_date DATE")
+    known = lambda at: sorted(r.parameter_id for r in provisions.parameters_known(params, AS_OF, at).collect())
+    assert known("2001-06-29") == [] and known("2001-06-30") == ["p1", "p4"] == known("2001-07-30")
+    assert known("2001-07-31") == ["p3", "p4"] and known("2001-12-31") == ["p3", "p4", "p5"]
