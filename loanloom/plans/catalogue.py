@@ -1078,6 +1078,60 @@ def stream_bronze(v):
     )
 
 
+def _landed(v, source: str, value: Column, side: DataFrame | None = None, times: int = 2) -> DataFrame:
+    """Bronze of a source whose payloads arrive twice: by a stream, and by another with its own checkpoint."""
+    scratch = scratch_path(v.spark, f"stream-{source}")
+    payloads = _event_stream(v).select(
+        value.alias("value"), F.col("ts").alias("arrived_at"), F.concat(F.lit("file:/in/"), "event_id").alias("file_path")
+    )
+    for turn in range(times):
+        landing_streams.stream_bronze(payloads, source, scratch, f"{scratch}/_checkpoint-{turn}", lambda _: side).awaitTermination()
+    return layers.read_table(v.spark, scratch, landing_streams.TABLE_OF[source]).select(
+        "source_system", "source_event_id", "application_id", "internal_uuid", "source_generated_at", "ingest_date", "schema_version"
+    )
+
+
+def _stamp_text(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def _known_users(v) -> DataFrame:
+    """Nine of ten users of the events, as customers with an application."""
+    users = v.table("events").filter("user_id % 10 <> 0").select("user_id").distinct()
+    return users.selectExpr(
+        "concat('784-', user_id) AS emirates_id", "concat('A', user_id) AS application_id", "concat('U', user_id) AS internal_uuid",
+        "TIMESTAMP '2001-01-01 00:00:00' AS requested_at",
+    )
+
+
+@query
+def stream_bronze_aml(v):
+    call = F.struct(
+        F.concat(F.lit("E"), "event_id").alias("event_id"), F.concat(F.lit("A"), "user_id").alias("callback_reference"),
+        _stamp_text("ts").alias("callback_at"),
+    )
+    return _landed(v, "aml", F.to_json(call), _known_users(v))
+
+
+@query
+def stream_bronze_fraud(v):
+    payload = F.struct(F.concat(F.lit("Q"), "event_id").alias("request_id"), _stamp_text("ts").alias("scored_at"), F.col("value").alias("fraud_score"))
+    message = F.struct(
+        F.concat(F.lit("A"), "user_id").alias("application_id"), F.concat(F.lit("U"), "user_id").alias("internal_uuid"),
+        payload.alias("payload"), _stamp_text("ts").alias("captured_at"),
+    )
+    return _landed(v, "fraud", F.to_json(message))
+
+
+@query
+def stream_bronze_bureau(v):
+    report = F.format_string(
+        '<Report reportId="R%d" generatedAt="%s"><Subject><EmiratesId>784-%d</EmiratesId></Subject></Report>',
+        "event_id", _stamp_text("ts"), "user_id",
+    )
+    return _landed(v, "aecb", report, _known_users(v))
+
+
 @query
 def stream_dedupe(v):
     scratch = scratch_path(v.spark, "stream-dedupe")

@@ -675,6 +675,17 @@ CHECKS: dict[str, str] = {
     "stream_bronze": """SELECT 'internal' AS source_system, CAST(event_id AS VARCHAR) AS source_event_id,
         'U' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS internal_uuid, strftime(ts, '%Y-%m-%d') AS ingest_date,
         'sha256:' || sha256(props) AS content_hash, '1.0' AS schema_version, props AS raw_payload FROM events""",
+    **{
+        f"stream_bronze_{name}": f"""SELECT '{source}' AS source_system, '{letter}' || event_id AS source_event_id,
+        'A' || user_id AS application_id, 'U' || user_id AS internal_uuid,
+        {_stamp("date_trunc('second', ts)")} AS source_generated_at, strftime(ts, '%Y-%m-%d') AS ingest_date,
+        '1.0' AS schema_version FROM events WHERE {which}"""
+        for name, source, letter, which in (
+            ("aml", "aml", "E", "user_id % 10 <> 0"),
+            ("fraud", "fraud", "Q", "true"),
+            ("bureau", "aecb", "R", "user_id % 10 <> 0"),
+        )
+    },
     "stream_dedupe": "SELECT DISTINCT event_id, user_id, event_type FROM events",
     "stream_dedupe_batches": "SELECT DISTINCT event_id, user_id, event_type FROM events",
     "stream_serving_latest": """SELECT application_id, source_system, bronze_id, value FROM (
