@@ -23,7 +23,7 @@ LIGHT = sorted(
 # The only windows: over aggregated rows, one loan's periods, scenarios or reporting dates.
 WINDOWED = {
     "approval_rate_by_product_month", "delinquency_distribution", "pct_of_month", "pct_of_product", "order_presentations",
-    "warn_fraud_score_drift_psi", "stage_transition", "stage2_param_joins", "write_lifetime_detail",
+    "warn_fraud_score_drift_psi", "warn_score_drift_wide", "stage_transition", "stage2_param_joins", "write_lifetime_detail",
     "write_ecl_calculation", "overlay_check", "rollup_joins", "ecl_portfolio_rollup",
 }
 PYTHON = {"jaro_winkler", "aml_match_score", "aml_match_decision", "conform_aml", "audit_aml", "match_exceptions",
