@@ -96,7 +96,7 @@ TABLES: dict[str, str] = {
     "ecl.exposure_stage_history": (
         "stage_history_id STRING, loan_id STRING, reporting_date DATE, current_stage INT, previous_stage INT, "
         "stage_transition_type STRING, days_past_due INT, dpd_backstop_triggered BOOLEAN, "
-        "pd_at_origination DECIMAL(8,6), pd_at_reporting_date DECIMAL(8,6), pd_deterioration_ratio DECIMAL(8,4), "
+        "pd_at_origination DECIMAL(8,6), pd_at_reporting_date DECIMAL(8,6), pd_deterioration_ratio DECIMAL(18,4), "
         "rating_notches_downgraded INT, watchlist_flag BOOLEAN, forbearance_flag BOOLEAN, "
         "unlikely_to_pay_flag BOOLEAN, sicr_backstop_rebutted BOOLEAN, rebuttal_reason STRING, primary_trigger STRING, "
         "classification_method STRING, override_approved_by STRING, override_justification STRING, "

@@ -99,9 +99,9 @@ def test_transitions(spark):
     assert staging.current_stage(history).first().stage_history_id == "H5"
 
 
-def history_row(spark, dpd, flag, override=None, rebuttal=None, prior=None):
+def history_row(spark, dpd, flag, override=None, rebuttal=None, prior=None, pds=(None, None, None)):
     recommended = spark.createDataFrame(
-        [("L", DAY, 3 if dpd >= 90 else 2 if dpd >= 30 else 1, "x", dpd, None, None, None, 0, flag, False, False)],
+        [("L", DAY, 3 if dpd >= 90 else 2 if dpd >= 30 else 1, "x", dpd, *pds, 0, flag, False, False)],
         "loan_id STRING, reporting_date DATE, recommended_stage INT, primary_trigger STRING, days_past_due INT, "
         "pd_at_origination DOUBLE, pd_at_reporting_date DOUBLE, pd_deterioration_ratio DOUBLE, rating_notches_downgraded INT, "
         "watchlist_flag BOOLEAN, forbearance_flag BOOLEAN, unlikely_to_pay_flag BOOLEAN",
@@ -121,6 +121,11 @@ def test_rebuttal_with_reason_sets_the_backstop_aside(spark):
     assert row.dpd_backstop_triggered and row.sicr_backstop_rebutted
 
 
+def test_the_greatest_ratio_of_two_pds_is_booked(spark):
+    row = history_row(spark, 0, False, pds=(0.000001, 99.999999, 99.999999 / 0.000001)).first()
+    assert float(row.pd_deterioration_ratio) == pytest.approx(99999999.0, rel=1e-9)
+
+
 def test_rebuttal_without_reason_changes_nothing_and_is_reported(spark):
     rows = history_row(spark, 95, True, rebuttal=(None,))
     assert rows.first().current_stage == 3
