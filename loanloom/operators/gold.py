@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.functions.text import piped
 from loanloom.operators.keys import first_per_key
 from loanloom.operators.rules import evaluate_must_pass, gold_sql_gate
 from loanloom.schemas import conform
@@ -71,13 +70,15 @@ def write_decision_response(decisions: DataFrame, existing: DataFrame) -> DataFr
 
 
 def decision_snapshot(request: DataFrame, response: DataFrame) -> DataFrame:
-    """Inputs and verdict frozen together, sealed by a hash over both."""
+    """Inputs and verdict frozen together, sealed by a hash over both.
+
+    The hash is of the row as JSON with its column names, nulls written out, so
+    that rows that differ in any column have different texts.
+    """
     inputs = [c for c in request.columns if c not in ("application_id", "assembled_at", "batch_date")]
     verdict = [c for c in response.columns if c not in ("application_id", "internal_uuid")]
     frozen = request.select("application_id", *inputs).join(
         response.select("application_id", *verdict), "application_id", "inner"
     )
-    sealed = [F.col(c) for c in ("application_id", *inputs, *verdict)]
-    sealed = [F.to_json(c) if dict(frozen.dtypes)[n].startswith("array") else c
-              for n, c in zip(("application_id", *inputs, *verdict), sealed)]
-    return frozen.withColumn("row_hash", F.sha2(piped(*sealed), 256))
+    sealed = F.to_json(F.struct("application_id", *inputs, *verdict), {"ignoreNullFields": "false"})
+    return frozen.withColumn("row_hash", F.sha2(sealed, 256))

@@ -88,47 +88,76 @@ def join_profile(responses: DataFrame, profile: DataFrame) -> DataFrame:
     return responses.join(side, splittable(F.col("internal_uuid"), F.col("__uuid")), "inner").drop("__uuid")
 
 
-def cross_uuid_collision(fraud: DataFrame, profile: DataFrame) -> DataFrame:
+def _identifiers(df: DataFrame, *carried: str) -> DataFrame:
+    """A row per normalised phone and email, out of one pass."""
+    values = F.array(
+        F.struct(F.lit("phone").alias("matched_on"), normalize_phone(F.col("phone")).alias("matched_value")),
+        F.struct(F.lit("email").alias("matched_on"), normalize_email(F.col("email")).alias("matched_value")),
+    )
+    rows = df.select(*carried, F.explode(values).alias("v")).select(*carried, "v.*")
+    return rows.filter(F.col("matched_value").isNotNull())
+
+
+def owner_index(profile: DataFrame) -> DataFrame:
+    """Who owns which phone and email: ``matched_on, matched_value, owner_uuid``.
+
+    Linear in the profiles. Written once a run, it answers `cross_uuid_collision`
+    and `collision_owners`; a repeated profile row is one owner.
+    """
+    owned = _identifiers(profile.withColumnRenamed("internal_uuid", "owner_uuid"), "owner_uuid")
+    return owned.filter(F.col("owner_uuid").isNotNull()).select("matched_on", "matched_value", "owner_uuid").distinct()
+
+
+def cross_uuid_collision(fraud: DataFrame, profile: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Responses whose phone or email belongs to another customer.
 
     One row per response and matched attribute, with one other owner and how
-    many others there are. Owners are counted per value before the join, so a
-    value shared by very many customers never becomes a set of pairs.
+    many others there are (`collision_owners` names all of them). Owners are
+    counted per value before the join, so a value shared by very many customers
+    never becomes a set of pairs. ``index`` is a stored `owner_index`.
     """
-    found = None
-    for matched_on, normalise in (("phone", normalize_phone), ("email", normalize_email)):
-        owners = (
-            profile.select("internal_uuid", normalise(F.col(matched_on)).alias("value"))
-            .filter(F.col("value").isNotNull())
-            .groupBy("value")
-            .agg(
-                F.count(F.lit(1)).alias("owners"),
-                F.min("internal_uuid").alias("first_owner"),
-                F.max("internal_uuid").alias("last_owner"),
-            )
-        )
-        owners = owners.withColumnRenamed("value", "owned_value")
-        returned = fraud.select("application_id", "internal_uuid", normalise(F.col(matched_on)).alias("value"))
-        own = profile.select("internal_uuid", normalise(F.col(matched_on)).alias("own_value"))
-        hits = (
-            returned.filter(F.col("value").isNotNull())
-            .join(owners, splittable(F.col("value"), F.col("owned_value")), "inner")
-            .filter((F.col("owners") > 1) | (F.col("first_owner") != F.col("internal_uuid")))
-            .join(own, "internal_uuid", "left")
-        )
-        others = F.col("owners") - F.when(F.col("own_value") == F.col("value"), 1).otherwise(0)
-        hits = hits.select(
-            "application_id",
-            "internal_uuid",
-            F.lit(matched_on).alias("matched_on"),
-            F.col("value").alias("matched_value"),
-            F.when(F.col("first_owner") != F.col("internal_uuid"), F.col("first_owner"))
-            .otherwise(F.col("last_owner"))
-            .alias("other_internal_uuid"),
-            others.alias("other_owner_count"),
+    index = owner_index(profile) if index is None else index
+    owners = index.groupBy(F.col("matched_on").alias("__on"), F.col("matched_value").alias("__value")).agg(
+        F.count(F.lit(1)).alias("owners"),
+        F.min("owner_uuid").alias("first_owner"),
+        F.max("owner_uuid").alias("last_owner"),
+    )
+    own = index.select(
+        F.col("matched_on").alias("own_on"), F.col("matched_value").alias("own_value"), F.col("owner_uuid").alias("own_uuid")
+    )
+    returned = _identifiers(fraud, "application_id", "internal_uuid")
+    value = F.col("matched_value")
+    hits = (
+        returned.join(owners, splittable(value, F.col("__value")) & F.col("matched_on").eqNullSafe(F.col("__on")), "inner")
+        .filter((F.col("owners") > 1) | (F.col("first_owner") != F.col("internal_uuid")))
+        .join(
+            own,
+            (F.col("internal_uuid") == F.col("own_uuid")) & (value == F.col("own_value")) & (F.col("matched_on") == F.col("own_on")),
+            "left",
         )
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    )
+    return hits.select(
+        "application_id",
+        "internal_uuid",
+        "matched_on",
+        "matched_value",
+        F.when(F.col("first_owner") != F.col("internal_uuid"), F.col("first_owner"))
+        .otherwise(F.col("last_owner"))
+        .alias("other_internal_uuid"),
+        (F.col("owners") - F.when(F.col("own_uuid").isNotNull(), 1).otherwise(0)).alias("other_owner_count"),
+    )
+
+
+def collision_owners(collisions: DataFrame, index: DataFrame) -> DataFrame:
+    """Every owner of every value in which responses collide.
+
+    One row per value and owner, not per response and owner: the values are made
+    distinct first, so the result is never larger than the index. A response's
+    other owners are those of its value but for its own customer.
+    """
+    shared = collisions.select(F.col("matched_on").alias("__on"), F.col("matched_value").alias("__value")).distinct()
+    same = splittable(F.col("matched_value"), F.col("__value")) & F.col("matched_on").eqNullSafe(F.col("__on"))
+    return index.join(shared, same, "left_semi")
 
 
 # --- audit rows ---------------------------------------------------------------

@@ -39,15 +39,18 @@ def must_pass_rows(evaluated: DataFrame, source: Column) -> DataFrame:
     )
 
 
-def warning_rows(results: DataFrame, source: str, as_of: str) -> DataFrame:
-    """Scorecard rows of batch metrics, scored by severity."""
+def warning_rows(results: DataFrame, source: str | None, as_of: str) -> DataFrame:
+    """Scorecard rows of batch metrics, scored by severity.
+
+    Without a ``source`` the metrics name their own.
+    """
     score = F.lit(WARNING_SCORES["OK"])
     for severity, points in WARNING_SCORES.items():
         score = F.when(F.col("severity") == severity, points).otherwise(score)
     return conform(
         results.withColumns(
             {
-                "source_system": F.lit(source),
+                "source_system": F.col("source_system") if source is None else F.lit(source),
                 "batch_date": F.lit(as_of).cast("date"),
                 "rule_tier": F.lit("WARNING"),
                 "score": score,

@@ -18,6 +18,7 @@ from loanloom.functions import credit
 from loanloom.functions.quality import classify_severity
 from loanloom.functions.text import normalize_email, normalize_phone
 from loanloom.operators import (
+    alerts,
     assemble,
     conform as conforming,
     gold,
@@ -31,6 +32,7 @@ from loanloom.operators import (
     staging,
     warnings,
 )
+from loanloom.schemas import schema_of
 from loanloom.session import scratch_path, tune
 from loanloom.sizing import small_side
 from loanloom.sources import dimensions, landing, layers, profile
@@ -105,6 +107,19 @@ class Inputs:
         """The assembled requests as the stored table that the gate reads."""
         return self.stored("request")
 
+    @property
+    def owners(self) -> DataFrame:
+        return identity.owner_index(self.profile)
+
+    @property
+    def daily_metrics(self) -> DataFrame:
+        """Two vendors' metrics of every day on which they answered."""
+        reports = self.bureau_answers.withColumn("batch_date", F.col("aecb_report_date").cast("date"))
+        screened = self.aml_answers.withColumn("batch_date", F.col("aml_screened_at").cast("date"))
+        return alerts.batch_metrics(reports, "aecb", ("application_id", "emirates_id"), by=("batch_date",)).unionByName(
+            alerts.batch_metrics(screened, "aml", ("returned_name", "returned_dob"), by=("batch_date",))
+        )
+
     @property
     def evaluated(self) -> DataFrame:
         return rules.evaluate_must_pass(self.request_table, AS_OF)
@@ -385,6 +400,17 @@ def cross_uuid_collision(v):
     return identity.cross_uuid_collision(v.fraud_answers, v.profile)
 
 
+@query
+def owner_index(v):
+    return identity.owner_index(v.profile)
+
+
+@query
+def collision_owners(v):
+    index = v.stored("owners")
+    return identity.collision_owners(identity.cross_uuid_collision(v.fraud_answers, v.profile, index), index)
+
+
 @query
 def jaro_winkler(v):
     similarity = identity.name_similarity(F.col("profile_name"), F.col("returned_name"))
@@ -825,6 +851,29 @@ def raise_alerts(v):
     return warnings.raise_alerts(_warning_metrics(v))
 
 
+@query
+def batch_metrics(v):
+    return v.daily_metrics
+
+
+@query
+def alert_episodes(v):
+    return alerts.alert_episodes(v.daily_metrics)
+
+
+@query
+def advance_alerts(v):
+    metrics = v.stored("daily_metrics")
+    yesterday, today = (metrics.filter(F.col("batch_date") == F.lit(d).cast("date")) for d in ("2001-06-11", "2001-06-12"))
+    before = alerts.advance_alerts(_unwritten(v, "gold.dq_alert"), yesterday, "2001-06-11")
+    return alerts.advance_alerts(before, today, "2001-06-12")
+
+
+def _unwritten(v, name: str) -> DataFrame:
+    """A declared table before anything was written to it."""
+    return v.spark.createDataFrame([], schema_of(name))
+
+
 # --- windows, order, sets ------------------------------------------------------------
 
 

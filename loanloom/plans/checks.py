@@ -311,6 +311,25 @@ CHECK_VIEWS: dict[str, str] = {
                CASE WHEN up AND value >= page_threshold OR NOT up AND value <= page_threshold THEN 'PAGE'
                     WHEN up AND value >= warn_threshold OR NOT up AND value <= warn_threshold THEN 'WARN'
                     ELSE 'OK' END AS severity FROM o_warnings""",
+    "o_daily": """
+        WITH answers AS (
+          SELECT 'aecb' AS source_system, CAST(aecb_report_date AS DATE) AS batch_date, application_id,
+                 CAST(application_id IS NOT NULL AS INTEGER) + CAST(emirates_id IS NOT NULL AS INTEGER) AS held FROM bureau_answers
+          UNION ALL SELECT 'aml', CAST(aml_screened_at AS DATE), application_id,
+                 CAST(returned_name IS NOT NULL AS INTEGER) + CAST(returned_dob IS NOT NULL AS INTEGER) FROM aml_answers
+        ), counted AS (SELECT *, count(*) OVER (PARTITION BY source_system, batch_date, application_id) AS same FROM answers),
+        days AS (
+          SELECT source_system, batch_date, CAST(sum(held) AS DOUBLE) / (2 * count(*)) AS complete,
+                 CAST(count(*) FILTER (same > 1) AS DOUBLE) / count(*) AS repeated FROM counted GROUP BY ALL
+        )
+        SELECT source_system, batch_date, 'source_completeness' AS rule_name, round(complete, 4) AS metric_value, 0.95e0 AS warn_threshold,
+               0.9e0 AS page_threshold, CASE WHEN complete <= 0.9e0 THEN 'PAGE' WHEN complete <= 0.95e0 THEN 'WARN' ELSE 'OK' END AS severity FROM days
+        UNION ALL
+        SELECT source_system, batch_date, 'duplicate_rate', round(repeated, 4), 0.01e0, 0.05e0,
+               CASE WHEN repeated >= 0.05e0 THEN 'PAGE' WHEN repeated >= 0.01e0 THEN 'WARN' ELSE 'OK' END FROM days""",
+    "o_owners": f"""
+        SELECT DISTINCT 'phone' AS matched_on, {_phone('phone')} AS matched_value, internal_uuid AS owner_uuid FROM profile
+        UNION ALL SELECT DISTINCT 'email', {_email('email')}, internal_uuid FROM profile""",
     "o_envelopes_aml": """
         SELECT c.event_id AS source_event_id, c.application_id, x.internal_uuid, c.received_at,
                'sha256:' || sha256(c.message) AS content_hash
@@ -445,6 +464,14 @@ CHECKS: dict[str, str] = {
           count(*) FILTER (WHERE p.internal_uuid <> f.internal_uuid)
         FROM fraud_answers f JOIN profile p ON {_email('p.email')} = {_email('f.email')}
         GROUP BY f.application_id, f.internal_uuid, f.email HAVING count(*) FILTER (WHERE p.internal_uuid <> f.internal_uuid) > 0""",
+    "owner_index": "SELECT * FROM o_owners",
+    "collision_owners": f"""WITH returned AS (
+          SELECT internal_uuid, 'phone' AS matched_on, {_phone('phone')} AS matched_value FROM fraud_answers
+          UNION ALL SELECT internal_uuid, 'email', {_email('email')} FROM fraud_answers
+        ), shared AS (
+          SELECT DISTINCT matched_on, matched_value FROM returned JOIN o_owners USING (matched_on, matched_value)
+          WHERE owner_uuid <> internal_uuid
+        ) SELECT * FROM o_owners SEMI JOIN shared USING (matched_on, matched_value)""",
     "jaro_winkler": "SELECT application_id, profile_name, returned_name, round(similarity, 6) AS similarity FROM o_aml_raw",
     "aml_match_score": "SELECT application_id, match_score FROM o_aml",
     "aml_match_decision": "SELECT application_id, match_decision FROM o_aml",
@@ -485,8 +512,8 @@ CHECKS: dict[str, str] = {
         aecb_score, fraud_score, aml_status, decision_outcome, decision_reason_code, policy_version,
         {_stamp('decided_at')} AS decided_at, {_day('decision_date')} AS decision_date FROM o_facts""",
     "decision_snapshot": """SELECT r.application_id, r.internal_uuid, r.aecb_score, r.aml_status, d.decision_outcome, d.policy_version,
-        sha256(r.application_id || '|' || r.internal_uuid || '|' || CAST(r.aecb_score AS VARCHAR) || '|' || r.aml_status || '|'
-               || d.decision_outcome || '|' || d.policy_version) AS row_hash
+        sha256(CAST(to_json({'application_id': r.application_id, 'internal_uuid': r.internal_uuid, 'aecb_score': r.aecb_score,
+               'aml_status': r.aml_status, 'decision_outcome': d.decision_outcome, 'policy_version': d.policy_version}) AS VARCHAR)) AS row_hash
         FROM gold_request r JOIN decisions d ON d.application_id = r.application_id""",
     "vintage_join": """SELECT loan_id, application_id, months_on_book, delinquency_bucket FROM o_month_end
         WHERE application_id IN (SELECT application_id FROM o_facts)""",
@@ -585,6 +612,22 @@ CHECKS: dict[str, str] = {
     + f"""\nUNION ALL SELECT 'internal', '{AS_OF}', rule_name, 'WARNING', NULL, NULL, NULL,
           CASE severity WHEN 'OK' THEN 100 WHEN 'WARN' THEN 50 ELSE 0 END FROM o_metrics""",
     "raise_alerts": "SELECT * FROM o_metrics WHERE severity <> 'OK'",
+    "batch_metrics": f"SELECT source_system, {_day('batch_date')} AS batch_date, rule_name, metric_value, warn_threshold, page_threshold, severity FROM o_daily",
+    "alert_episodes": f"""SELECT source_system, rule_name, {_day('min(batch_date)')} AS opened_on, {_day('max(batch_date)')} AS last_seen_on,
+          {_day('any_value(ends)')} AS resolved_on, count(*) AS runs_open,
+          if(max(severity = 'PAGE'), 'PAGE', 'WARN') AS worst_severity
+        FROM (SELECT d.*, (SELECT min(n.batch_date) FROM o_daily n WHERE n.source_system = d.source_system
+                           AND n.rule_name = d.rule_name AND n.batch_date > d.batch_date AND n.severity = 'OK') AS ends
+              FROM o_daily d WHERE severity <> 'OK') bad
+        GROUP BY source_system, rule_name, ends""",
+    "advance_alerts": """
+        WITH y AS (SELECT * FROM o_daily WHERE batch_date = DATE '2001-06-11' AND severity <> 'OK'), t AS (SELECT * FROM o_daily WHERE batch_date = DATE '2001-06-12')
+        SELECT source_system, rule_name, CASE WHEN t.severity IS NULL THEN 'UNMEASURED' WHEN t.severity = 'OK' THEN 'RESOLVED'
+                 WHEN y.severity IS NULL THEN 'OPENED' ELSE 'REPEATED' END AS alert_state,
+               t.severity, t.metric_value, strftime(coalesce(y.batch_date, t.batch_date), '%Y-%m-%d') AS opened_on,
+               if('PAGE' IN (coalesce(t.severity, ''), coalesce(y.severity, '')), 'PAGE', 'WARN') AS worst_severity,
+               if(t.severity IN ('WARN', 'PAGE'), 1, 0) + if(y.severity IS NULL, 0, 1) AS runs_open, '2001-06-12' AS batch_date
+        FROM t FULL JOIN y USING (source_system, rule_name) WHERE t.severity <> 'OK' OR y.severity IS NOT NULL""",
     "dup_count": """SELECT bronze_id, application_id, count(*) OVER (PARTITION BY application_id) AS duplicate_count FROM bureau_answers""",
     "pct_of_month": f"SELECT product_type, decision_month, decision_outcome, pct_of_month FROM ({_PCT_OF_MONTH}) q",
     "pct_of_product": f"SELECT product_type, delinquency_bucket, pct_of_product FROM ({_DELINQUENCY}) q",

@@ -71,6 +71,17 @@ TABLES: dict[str, str] = {
         "source_system STRING, batch_date DATE, rule_name STRING, rule_tier STRING, pass_rate DECIMAL(5,4), "
         "records_evaluated BIGINT, records_failed BIGINT, score INT, evaluated_at TIMESTAMP"
     ),
+    "gold.dq_alert": (
+        "source_system STRING, rule_name STRING, alert_state STRING, severity STRING, metric_value DOUBLE, opened_on DATE, "
+        "worst_severity STRING, runs_open INT, evaluated_at TIMESTAMP, batch_date DATE"
+    ),
+    "gold.decision_snapshot": (
+        "application_id STRING, internal_uuid STRING, application_date DATE, aecb_score INT, aecb_band STRING, "
+        "total_outstanding DECIMAL(18,2), fraud_score INT, risk_band STRING, aml_status STRING, pep_flag BOOLEAN, "
+        "match_score DECIMAL(4,3), dq_status STRING, pending_sources ARRAY<STRING>, decision_outcome STRING, "
+        "decision_reason_code STRING, policy_version STRING, decided_at TIMESTAMP, decided_by STRING, batch_date DATE, "
+        "row_hash STRING"
+    ),
     "mart.dim_customer": (
         "internal_uuid STRING, customer_segment STRING, emirate STRING, onboarded_date DATE, is_active BOOLEAN"
     ),
