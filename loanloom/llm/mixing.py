@@ -62,34 +62,40 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
 def virtual_times(docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
     """Every document's place in its source's queue, and the targets.
 
-    ``docs`` has ``doc_id, source, size`` and may have more. Added are
-    ``source_size``, ``target`` and ``queued``: the words of the source before
-    the document, in the order of a hash. Documents with equal ids and sizes
-    are interchangeable.
+    ``docs`` has ``doc_id, source, size`` and may have more, under any names but
+    those that begin with ``__mix_``. Added are ``source_size``, ``target`` and
+    ``queued`` (in place of columns so called): the words of the source before the
+    document, in the order of a hash. The hash is of the id; rows without one are
+    told apart by their place in the input, so that they spread over the buckets
+    like others and reruns over the same files agree. Documents with equal ids and
+    sizes are interchangeable.
     """
-    targets = stored(source_targets(docs), "mix-targets")
-    draw = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)).cast("binary"))
-    part = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
-    buckets = F.ceil(F.col("rows") / F.lit(BUCKET_ROWS))
-    joined = (
-        docs.withColumn("draw", draw)
-        .join(F.broadcast(targets) if targets.count() <= 50_000 else targets, docs["source"].eqNullSafe(targets["source"]))
-        .drop(targets["source"])
-        .withColumn("bucket", F.floor(part * buckets / F.lit(float(1 << 32))))
-    )
-    sums = joined.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    kept = docs.drop("source_size", "target", "queued")
+    known = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed))
+    placed = F.concat_ws(":", known, F.monotonically_increasing_id().cast("string"))
+    draw = F.md5(F.when(F.col("doc_id").isNull(), placed).otherwise(known).cast("binary"))
+    # Written once: the texts behind the sizes are counted in one pass, and a place is drawn once.
+    drawn = stored(kept.withColumn("__mix_draw", draw), "mix-sizes")
+    targets = stored(source_targets(drawn), "mix-targets")
+    side = targets.select(F.col("source").alias("__mix_source"), F.col("rows").alias("__mix_rows"), "source_size", "target")
+    part = F.conv(F.substring("__mix_draw", 1, 8), 16, 10).cast("long")
+    buckets = F.ceil(F.col("__mix_rows") / F.lit(BUCKET_ROWS))
+    joined = drawn.join(
+        F.broadcast(side) if targets.count() <= 50_000 else side, F.col("source").eqNullSafe(F.col("__mix_source"))
+    ).withColumn("__mix_bucket", F.floor(part * buckets / F.lit(float(1 << 32))))
+    sums = joined.groupBy("source", "__mix_bucket").agg(F.sum("size").alias("bucket_size"))
+    before = Window.partitionBy("source").orderBy("__mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset")
-    )
-    within = Window.partitionBy("source", "bucket").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = joined.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    queued = (
-        placed.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-        .withColumn("queued", F.col("inner") + F.col("offset"))
-        .drop("s", "b", "inner", "offset", "bucket", "draw", "rows")
+        F.col("source").alias("__mix_s"),
+        F.col("__mix_bucket").alias("__mix_b"),
+        F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("__mix_offset"),
     )
-    return queued, targets
+    within = Window.partitionBy("source", "__mix_bucket").orderBy("__mix_draw", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = joined.withColumn("__mix_inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    queued = inner.join(
+        offsets, F.col("source").eqNullSafe(F.col("__mix_s")) & (F.col("__mix_bucket") == F.col("__mix_b"))
+    ).withColumn("queued", F.col("__mix_inner") + F.col("__mix_offset"))
+    return queued.select(*[F.col(f"`{c}`") for c in kept.columns], "source_size", "target", "queued"), targets
 
 
 def time_of(copy: int) -> Column:
@@ -132,7 +138,7 @@ def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
     the cut. Empty documents are taken 0 times. A null source is a source; rows
     without an id count like others. An empty table gives an empty mix.
     """
-    queued, _ = virtual_times(docs, seed)
+    queued, _ = virtual_times(docs.drop("copies", "taken"), seed)
     queued = stored(queued, "mix-queue")
     bins = max(64, math.isqrt(COPIES * queued.count()))
     cut = cut_time(queued, bins)
