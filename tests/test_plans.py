@@ -22,6 +22,7 @@ LIGHT = sorted(
 )
 # The only windows: over aggregated rows, one loan's periods, scenarios or reporting dates.
 WINDOWED = {
+    "alert_episodes",  # over the days of one source and rule
     "approval_rate_by_product_month", "delinquency_distribution", "pct_of_month", "pct_of_product", "order_presentations",
     "warn_fraud_score_drift_psi", "warn_score_drift_wide", "stage_transition", "stage2_param_joins", "write_lifetime_detail",
     "write_ecl_calculation", "overlay_check", "rollup_joins", "ecl_portfolio_rollup",
