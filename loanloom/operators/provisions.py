@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.credit import discount_factor, money
 from loanloom.functions.text import name_uuid
-from loanloom.operators.keys import in_force, latest_per_key
+from loanloom.operators.keys import in_force
 from loanloom.schemas import conform
 from loanloom.sizing import small_side
 
@@ -63,12 +63,14 @@ def staged_parameters(loans: DataFrame, pit: DataFrame, scenarios: DataFrame, re
     Stage 1 uses the 12-month PD, stage 2 the PD term structure, stage 3 none;
     point LGD and EAD serve all, an EAD per period only stage 2.
     """
-    weights = _on(scenarios, reporting_date).select(
-        "scenario_id", "scenario_name", F.col("scenario_weight").cast("double").alias("scenario_weight")
-    )
+    return _weighted(_of_loans(loans, pit, reporting_date), scenarios, reporting_date)
+
+
+def _of_loans(loans: DataFrame, pit: DataFrame, reporting_date: str, also: Sequence[str] = ()) -> DataFrame:
+    """The parameter rows each loan's stage uses, partitioned by loan; ``also`` names more columns of them."""
     parameters = _on(pit, reporting_date).select(
         "loan_id", "scenario_id", "parameter_id", "parameter_type", "horizon_type", "period_number",
-        F.col("parameter_value").cast("double").alias("value"),
+        F.col("parameter_value").cast("double").alias("value"), *also,
     )
     stage, kind = F.col("current_stage"), F.col("parameter_type")
     lifetime_pd = (kind == "PD") & (F.col("horizon_type") == "LIFETIME") & F.col("period_number").isNotNull()
@@ -82,10 +84,16 @@ def staged_parameters(loans: DataFrame, pit: DataFrame, scenarios: DataFrame, re
         parameters.filter(point | twelve_month_pd | lifetime_pd | period_ead)
         .join(loans.hint("shuffle_hash"), "loan_id", "inner")
         .filter(used)
-        .join(small_side(weights), "scenario_id", "inner")
     )
 
 
+def _weighted(params: DataFrame, scenarios: DataFrame, reporting_date: str) -> DataFrame:
+    weights = _on(scenarios, reporting_date).select(
+        "scenario_id", "scenario_name", F.col("scenario_weight").cast("double").alias("scenario_weight")
+    )
+    return params.join(small_side(weights), "scenario_id", "inner")
+
+
 def _preferred(value: Column, condition: Column) -> Column:
     """A point value in the horizon of the loan's stage, else in the other one."""
     own = F.when(F.col("current_stage") == 1, "12_MONTH").otherwise("LIFETIME")
@@ -184,22 +192,39 @@ def per_scenario(
 PARAMETER = ("reporting_date", "loan_id", "scenario_id", "parameter_type", "horizon_type", "period_number")
 
 
-def parameters_known(params: DataFrame, reporting_date: str, known_at: str) -> DataFrame:
+def parameters_known(
+    params: DataFrame, reporting_date: str, known_at: str, per: Sequence[str] = PARAMETER
+) -> DataFrame:
     """A reporting date's parameters as they were known on a day.
 
     A parameter has two times: the date it is about (``reporting_date``) and the day it was
     delivered (``batch_date``). Of the versions delivered until ``known_at`` the last one counts;
-    those of one day go by model version, then id.
+    those of one day go by model version, then id. ``per`` are the columns that tell one
+    parameter from another.
     """
-    known = _on(params, reporting_date).filter(F.col("batch_date") <= F.lit(known_at).cast("date"))
-    return latest_per_key(known, PARAMETER, ["batch_date", "model_version", "parameter_id"])
+    rows = _on(params, reporting_date)
+    rest = [c for c in rows.columns if c not in per]
+    # Later versions are passed over in the pick, not filtered before it: the figures of several days
+    # then come out of one and the same shuffle of the versions.
+    until = F.col("batch_date") <= F.lit(known_at).cast("date")
+    order = F.when(until, F.struct("batch_date", "model_version", "parameter_id"))
+    last = rows.groupBy(*per).agg(F.max_by(F.struct(*rest), order).alias("__last")).filter("__last IS NOT NULL")
+    return last.select(*per, "__last.*").select(*rows.columns)
 
 
 def reproduce_ecl(
     history: DataFrame, params: DataFrame, scenarios: DataFrame, terms: DataFrame, reporting_date: str, known_at: str
 ) -> DataFrame:
-    """The scenario ECL of a reporting date, computed again from what was known on a day."""
-    return per_scenario(history, parameters_known(params, reporting_date, known_at), scenarios, terms, reporting_date)
+    """The scenario ECL of a reporting date, computed again from what was known on a day.
+
+    The versions meet their loan before the last one is picked: what the loan's stage does not
+    use is never sorted, and the pick finds the rows partitioned by loan, so the versions are
+    shuffled once and as narrow as the ECL needs them.
+    """
+    loans = loans_in_stage(history, reporting_date, (1, 2, 3))
+    versions = _of_loans(loans, params, reporting_date, ("batch_date", "model_version"))
+    known = parameters_known(versions, reporting_date, known_at, (*_LOAN, *(c for c in PARAMETER if c not in _LOAN)))
+    return scenario_ecl(parameters_by_period(_weighted(known, scenarios, reporting_date), terms))
 
 
 def scenario_pivot(value: str = "scenario_ecl") -> list[Column]:

@@ -88,6 +88,23 @@ def test_provisions_move_parameters_once(spark, lake, sf_dir):
     assert all(re.search(r"hashpartitioning\(loan_id#\d+, \d+\)", line) for line in exchanges), plan
 
 
+def test_figures_of_two_days_move_the_versions_once(spark, lake, sf_dir):
+    """The version is picked on the loan's partitioning, and both days read one exchange of the versions."""
+    v = Inputs(spark, sf_dir)
+    pit = layers.read_table(spark, lake, "ecl.risk_parameters_pit")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        days = [provisions.reproduce_ecl(v.stage_history, pit, v.macro_scenario, v.loan_terms, AS_OF, day) for day in (AS_OF, "2001-07-31")]
+        plan = physical(days[0].unionByName(days[1]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert all(re.search(r"hashpartitioning\(loan_id#\d+, \d+\)", line) for line in exchanges), plan
+    assert len(exchanges) <= 3, plan  # versions, loans, loan terms
+
+
 def test_gate_counts_without_a_window(spark, lake):
     silver = conform(layers.read_table(spark, lake, "gold.lending_application_response"), "silver.lending_application_request")
     plan = physical(rules.evaluate_must_pass(silver, AS_OF))
