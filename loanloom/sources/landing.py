@@ -240,10 +240,13 @@ def with_event_key(envelope: DataFrame) -> DataFrame:
 
 def dedupe_batch(envelope: DataFrame, source: str) -> DataFrame:
     """One envelope per idempotency key within a batch."""
-    keys, keep = IDEMPOTENCY[source]
-    pick = first_per_key if keep == "first" else latest_per_key
-    order = ["received_at", "source_generated_at", "bronze_id"]
-    return pick(with_event_key(envelope), keys, order).select(*envelope.columns)
+    return one_per_key(with_event_key(envelope), IDEMPOTENCY[source][0], source).select(*envelope.columns)
+
+
+def one_per_key(keyed: DataFrame, keys: Sequence[str], source: str) -> DataFrame:
+    """The delivery of each key that the source keeps."""
+    pick = first_per_key if IDEMPOTENCY[source][1] == "first" else latest_per_key
+    return pick(keyed, keys, ["received_at", "source_generated_at", "bronze_id"])
 
 
 def append_idempotent(envelope: DataFrame, existing: DataFrame, source: str) -> DataFrame:

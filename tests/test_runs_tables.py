@@ -148,6 +148,24 @@ def test_repeats_on_any_day_are_found_without_reading_bronze(spark, tmp_path, mo
     assert landed(spark, root) == list(range(25))
 
 
+def test_whole_rows_are_shuffled_once_and_only_if_some_are_new(spark, tmp_path):
+    root, plans = str(tmp_path), []
+
+    def write(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write_partitioned(rows, root, "bronze.aml")
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        land(spark, root, range(20), "s-0", write=write)
+        land(spark, root, range(20), "s-1", "2001-07-09", write=write)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[0].count("Exchange hashpartitioning") == 2, plans[0]  # the rows, and the ledger's keys
+    assert "Exchange" not in plans[1], plans[1]
+    assert landed(spark, root) == list(range(20))
+
+
 def test_a_batch_that_died_after_its_keys_were_noted_is_written_on_replay(spark, tmp_path):
     root = str(tmp_path)
     land(spark, root, range(5), "s-0")
