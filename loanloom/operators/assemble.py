@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanloom.operators.keys import HOT_ROWS, splittable
 from loanloom.schemas import conform
-from loanloom.sizing import small_side
+from loanloom.sizing import fits_broadcast, small_side
 
 KEY = "application_id"
 
@@ -118,14 +118,26 @@ def assemble_application_request(
         [df.filter((F.col("batch_date") == day) & F.col(KEY).isNotNull()).select(KEY) for df in tables.values()],
     )
     day_keys = small_side(of_the_day.distinct().withColumnRenamed(KEY, "day_key"))
-    picked = {
-        source: side.join(day_keys, splittable(F.col(KEY), F.col("day_key")), "left_semi")
-        for source, side in sides.items()
-    }
+
+    def of_run(rows: DataFrame) -> DataFrame:
+        return rows.join(day_keys, splittable(F.col(KEY), F.col("day_key")), "left_semi")
+
+    picked = {source: of_run(side) for source, side in sides.items()}
+    answers = reduce(
+        DataFrame.unionByName,
+        [
+            df.filter(F.col(KEY).isNotNull()).select(KEY, F.lit(s).alias("source"), (F.col("batch_date") == day).alias("of_day"))
+            for s, df in tables.items()
+        ],
+    )
+    # The counts say themselves which applications are of the run: nothing is sorted and joined for
+    # them, unless a broadcast spares the shuffle of the history's keys.
     spine = (
-        reduce(DataFrame.unionByName, [df.select(KEY, F.lit(s).alias("source")) for s, df in picked.items()])
+        (of_run(answers) if fits_broadcast(day_keys) else answers)
         .groupBy(KEY)
-        .agg(*[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in SOURCES])
+        .agg(*[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in SOURCES], F.bool_or("of_day").alias("of_day"))
+        .filter("of_day")
+        .drop("of_day")
     )
     # A hot application has over ``hot_rows`` rows: few enough of them to broadcast.
     hot = spine.filter(F.greatest(*[F.col(f"rows_{s}") for s in SOURCES]) > hot_rows).select(

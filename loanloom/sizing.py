@@ -14,10 +14,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether the estimate is within ``limit``."""
+    return estimated_bytes(df) <= limit
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast if the estimate is within ``limit``.
 
     Beyond it the frame is returned without a hint: the join is then planned as
     a shuffle join whose hot keys AQE splits.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, limit) else df

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from loanloom.operators import keys
+from loanloom.operators import assemble, keys
 from loanloom.operators.assemble import assemble_application_request
 
 AS_OF = "2001-06-30"
@@ -61,6 +61,25 @@ def test_equals_plain_full_outer_join(spark, seed, hot):
     assert sorted([tuple(r) for r in got.collect()], key=repr) == expected
 
 
+def test_counts_of_the_run_sort_and_join_nothing(spark, monkeypatch):
+    """Of a run whose keys fit no broadcast only the vendors' rows are joined with them."""
+    rng, found = random.Random(5), {}
+    rows = [toy(rng, 30, [f"A{i}" for i in range(12)] + [None]) for _ in range(3)]
+    for small in (True, False):
+        monkeypatch.setattr(assemble, "fits_broadcast", lambda df: small, raising=False)
+        monkeypatch.setattr(assemble, "small_side", F.broadcast if small else lambda df: df)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            got = assemble_application_request(*frames(spark, *rows), AS_OF).drop("assembled_at")
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            found[small] = sorted(map(repr, got.collect()))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        sorted_joins = sum("SortMergeJoin" in line and "LeftSemi" in line for line in plan.splitlines())
+        assert sorted_joins == (0 if small else 3), plan
+    assert found[True] == found[False] != []
+
+
 def test_latest_and_first_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, None), ("b", 1, None)], "k STRING, t INT, v STRING")
     assert sorted(tuple(r) for r in keys.latest_per_key(df, ["k"], ["t"]).select("k", "t").collect()) == [("a", 3), ("b", 1)]
