@@ -241,11 +241,18 @@ class Answers:
     def __init__(self, path: str):
         self.system, self.path = opened(path)
 
-    def of(self, task: int, chunk: int, columns: list[str]) -> list[dict]:
+    def table(self, task: int, chunk: int, columns: list[str]) -> pa.Table | None:
         where = f"{self.path}/task={task}"
         if self.system.get_file_info(where).type.name == "NotFound":
-            return []
-        return pq.read_table(where, columns=columns, filters=[("chunk", "=", chunk)], filesystem=self.system).to_pylist()
+            return None
+        # A task's share of the executor is one core and little memory: nothing is read ahead.
+        return pq.read_table(
+            where, columns=columns, filters=[("chunk", "=", chunk)], filesystem=self.system, use_threads=False, pre_buffer=False
+        )
+
+    def of(self, task: int, chunk: int, columns: list[str]) -> list[dict]:
+        found = self.table(task, chunk, columns)
+        return [] if found is None else found.to_pylist()
 
 
 @dataclass
@@ -398,6 +405,14 @@ def _count_pairs(table: pa.Table, unigrams: Unigrams) -> pa.Table:
     return pa.concat_tables(made)
 
 
+def _backoff(found: pa.Table | None) -> tuple[np.ndarray, np.ndarray]:
+    """Histories in ascending order and their weights, as arrays: a chunk asks for very many."""
+    if found is None or not found.num_rows:
+        return np.array([-1]), np.array([1.0])
+    history, first = np.unique(found["history"].to_numpy(), return_index=True)
+    return history, found["weight"].to_numpy()[first]
+
+
 def _score(
     batches: Iterator[pa.RecordBatch], words: str, pairs: str, weights: str, unigrams: Unigrams, discount: np.ndarray, parts: int, hot: int
 ) -> Iterator[pa.RecordBatch]:
@@ -409,10 +424,9 @@ def _score(
             *_, pair = events.pairs(parts, hot)
             found = sorted(pair_answers.of(row["task"], row["chunk"], ["part", "a"]), key=lambda r: r["part"])
             count = np.concatenate([unpack(r["a"]) for r in found])[pair]
-            backoff = weight_answers.of(row["task"], row["chunk"], ["history", "weight"])
-            known = np.array(sorted({(r["history"], r["weight"]) for r in backoff}) or [(-1, 1.0)])
-            at = np.minimum(np.searchsorted(known[:, 0], events.history), len(known) - 1)
-            weight = np.where(known[at, 0] == events.history, known[at, 1], 1.0)
+            known, backoff = _backoff(weight_answers.table(row["task"], row["chunk"], ["history", "weight"]))
+            at = np.minimum(np.searchsorted(known, events.history), known.size - 1)
+            weight = np.where(known[at] == events.history, backoff[at], 1.0)
             lower = weight * unigrams.chance(events.word_count)
             seen = (count - off(discount, count)) / np.maximum(events.history_count, 1)
             score = np.log10(np.where(count > 0, seen, lower))

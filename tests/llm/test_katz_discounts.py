@@ -78,3 +78,24 @@ def test_history_of_frequent_pairs_only(spark, monkeypatch, parts):
         w = texts[i].split()
         want = sum(math.log10(chance(a, b)) for a, b in zip(["<s>", *w], [*w, "</s>"]))
         assert rows[i] == pytest.approx(want, rel=1e-9) and np.isfinite(rows[i])
+
+
+def test_a_chunks_backoff_weights_stay_arrays():
+    """Python workers hold them beside the JVM: a dictionary a row took a multiple of the rows."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from loanloom.llm import ngrams
+
+    n = 200_000
+    history = np.arange(n, dtype=np.int64)[::-1]
+    found = pa.table({"history": np.concatenate([history, history[:5]]), "weight": np.concatenate([history / n, history[:5] / n])})
+    tracemalloc.start()
+    known, weight = ngrams._backoff(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (known == np.arange(n)).all() and np.allclose(weight, np.arange(n) / n)
+    assert peak < 100 * n, peak
+    assert [x.tolist() for x in ngrams._backoff(None)] == [[-1], [1.0]]
