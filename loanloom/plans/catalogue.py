@@ -1032,9 +1032,9 @@ def undefined_divergence(v):
 def coverage_check(v):
     figures = provisions.per_scenario(*v.ecl_inputs, AS_OF)
     # The severe scenario of the bnpl book was never computed.
-    bnpl = v.perf.filter(F.col("product_type") == "bnpl").select("loan_id").distinct()
-    severe = figures.filter(F.col("scenario_name") == "SEVERE").join(bnpl, "loan_id", "left_anti")
-    partial = figures.filter(F.col("scenario_name") != "SEVERE").unionByName(severe)
+    bnpl = v.perf.filter(F.col("product_type") == "bnpl").select("loan_id", F.lit(True).alias("is_bnpl")).distinct()
+    kept = (F.col("scenario_name") != "SEVERE") | (F.col("scenario_name").isNotNull() & F.col("is_bnpl").isNull())
+    partial = figures.join(bnpl, "loan_id", "left").filter(kept).drop("is_bnpl")
     rows = provisions.coverage_check(v.stage_history, partial, AS_OF)
     return _rounded(rows, 4, "covered_weight").select("loan_id", "current_stage", "covered_weight")
 

@@ -117,3 +117,9 @@ def test_scorecard_unpivots_only_aggregates(spark, lake):
     silver = conform(layers.read_table(spark, lake, "gold.lending_application_response"), "silver.lending_application_request")
     plan = physical(must_pass_rows(rules.evaluate_must_pass(silver, AS_OF), F.lit("internal")))
     assert plan.index("Expand") < plan.index("HashAggregate")  # printed top down
+
+
+def test_coverage_makes_the_parameters_once(spark, sf_dir):
+    """Leaving the severe scenario of one product out takes no second pass over the parameters."""
+    plan = physical(REGISTRY["coverage_check"](spark, sf_dir))
+    assert plan.count("explode([0,1,2,3,4,5,6,7,8,9,10,11,12])") == 1, plan
