@@ -122,7 +122,8 @@ def parameters_by_period(params: DataFrame, terms: DataFrame, with_ids: bool = F
             _preferred(stamped, is_ead)["parameter_id"].alias("ead_parameter_id"),
         ]
     collapsed = params.groupBy(*_LOAN, *_SCENARIO, "period_number").agg(*wanted)
-    rated = collapsed.join(terms.select("loan_id", *_TERMS), "loan_id", "left")
+    # A hash table of terms per partition: the collapsed rows, which are at their loan already, are not sorted.
+    rated = collapsed.join(terms.select("loan_id", *_TERMS).hint("shuffle_hash"), "loan_id", "left")
     return rated.filter((F.col("current_stage") != 2) | F.col("effective_interest_rate").isNotNull())
 
 
@@ -182,8 +183,13 @@ def per_scenario(
     stages: Sequence[int] = (1, 2, 3),
     with_ids: bool = False,
 ) -> DataFrame:
-    """Scenario ECL of the date's loans in the given stages."""
+    """Scenario ECL of the date's loans in the given stages.
+
+    The ids it names are those of point parameters; a period's id is not shuffled and sorted.
+    """
     loans = loans_in_stage(history, reporting_date, stages)
+    if with_ids:
+        pit = pit.withColumn("parameter_id", F.when(F.col("period_number").isNull(), F.col("parameter_id")))
     params = staged_parameters(loans, pit, scenarios, reporting_date)
     return scenario_ecl(parameters_by_period(params, terms, with_ids))
 

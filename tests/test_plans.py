@@ -119,7 +119,31 @@ def test_scorecard_unpivots_only_aggregates(spark, lake):
     assert plan.index("Expand") < plan.index("HashAggregate")  # printed top down
 
 
+def _without_broadcasts(spark, df) -> str:
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return physical(df())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_coverage_makes_the_parameters_once(spark, sf_dir):
     """Leaving the severe scenario of one product out takes no second pass over the parameters."""
     plan = physical(REGISTRY["coverage_check"](spark, sf_dir))
     assert plan.count("explode([0,1,2,3,4,5,6,7,8,9,10,11,12])") == 1, plan
+
+
+def test_terms_join_sorts_no_parameters(spark, lake, sf_dir):
+    v = Inputs(spark, sf_dir)
+    pit = layers.read_table(spark, lake, "ecl.risk_parameters_pit")
+    plan = _without_broadcasts(spark, lambda: provisions.stage23_ecl(v.stage_history, pit, v.macro_scenario, v.loan_terms, AS_OF))
+    assert not re.search(r"SortMergeJoin.*LeftOuter", plan) and "ShuffledHashJoin" in plan, plan
+
+
+def test_only_ids_of_point_parameters_are_shuffled(spark, lake, sf_dir):
+    v = Inputs(spark, sf_dir)
+    pit = layers.read_table(spark, lake, "ecl.risk_parameters_pit")
+    plan = _without_broadcasts(
+        spark, lambda: provisions.per_scenario(v.stage_history, pit, v.macro_scenario, v.loan_terms, AS_OF, with_ids=True)
+    )
+    assert re.search(r"CASE WHEN isnull\(period_number#\d+\) THEN parameter_id#\d+ END AS parameter_id", plan), plan
