@@ -38,8 +38,10 @@ def name_uuid(*cols: Column) -> Column:
     Unlike ``uuid()`` it does not change when a lost task or a replayed
     micro-batch computes the row again.
     """
-    digest = F.sha2(piped(*cols), 256)
-    return F.regexp_replace(F.substring(digest, 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    shaped = F.substring(F.sha2(piped(*cols), 256), 1, 32)
+    for after in (20, 16, 12, 8):  # from the right; cheaper than a regular expression on every row
+        shaped = F.overlay(shaped, F.lit("-"), after + 1, 0)
+    return shaped
 
 
 def content_hash(raw: Column) -> Column:

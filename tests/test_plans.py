@@ -1,10 +1,12 @@
 """Physical plans keep the shape they were designed for."""
 
+import hashlib
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from loanloom.functions.text import name_uuid
 from loanloom.operators import mart, provisions, rules, staging
 from loanloom.plans.catalogue import REGISTRY, Inputs
 from loanloom.schemas import conform
@@ -147,3 +149,10 @@ def test_only_ids_of_point_parameters_are_shuffled(spark, lake, sf_dir):
         spark, lambda: provisions.per_scenario(v.stage_history, pit, v.macro_scenario, v.loan_terms, AS_OF, with_ids=True)
     )
     assert re.search(r"CASE WHEN isnull\(period_number#\d+\) THEN parameter_id#\d+ END AS parameter_id", plan), plan
+
+
+def test_ids_take_no_regular_expression(spark):
+    df = spark.sql("SELECT 'a' AS a, CAST(NULL AS INT) AS b").select(name_uuid(F.col("a"), F.col("b")).alias("id"))
+    assert "regexp" not in df._jdf.queryExecution().analyzed().toString()
+    digest = hashlib.sha256(b"a|").hexdigest()
+    assert df.first().id == "-".join((digest[:8], digest[8:12], digest[12:16], digest[16:20], digest[20:32]))
