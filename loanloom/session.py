@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where the join output feeds an aggregate on the
     # same key; the extra exchange then runs after partial aggregation.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows are dealt out as they are read. A scan's order is fixed; where an order is not, Spark
+    # repeats the whole stage after a loss, so nothing need be sorted in one task's memory for it.
+    "spark.sql.execution.sortBeforeRepartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

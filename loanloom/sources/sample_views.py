@@ -418,13 +418,15 @@ HEAVY = {"pit", "ttc", "bureau_answers", "fraud_answers", "aml_answers", "servic
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Give an input that sits in too few files one partition per core.
+    """Give an input that sits in too few files at least one partition per core.
 
-    A test table is a single row group, which one task would work off alone. Input
-    that already comes in many partitions is left as it is.
+    A split of a file is no measure: the rows of a row group all come in the split that
+    holds its middle. Input that comes in as many files as there are cores is left as it is.
     """
     cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(max(cores, df.rdd.getNumPartitions()))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
