@@ -60,19 +60,6 @@ def _contribution(conformed: DataFrame, source: str) -> DataFrame:
     )
 
 
-def _absent(spine: DataFrame, like: DataFrame, source: str) -> DataFrame:
-    """A placeholder row for every application the vendor has not answered."""
-    missing = spine.filter(F.col(f"rows_{source}") == 0)
-    return missing.select(
-        [
-            F.col(f.name) if f.name in _KEYS
-            else F.lit(False).alias(f.name) if f.name == f"has_{source}"
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in like.schema.fields
-        ]
-    )
-
-
 def _pieces(source: str, hot_rows: int) -> Column:
     """Into how many slots a vendor's answers to an application are split."""
     return F.greatest(F.ceil(F.col(f"rows_{source}") / hot_rows), F.lit(1)).cast("int")
@@ -103,11 +90,12 @@ def assemble_application_request(
 
     That plain form joins all history before it filters, and a full outer join
     cannot split a hot key. So the run's applications are taken from the run's
-    partitions first and pick their rows out of the history, without a shuffle
-    of it while they fit a broadcast. Vendors that did not answer get a
-    placeholder row, which turns the outer joins into inner joins of the picked
-    rows; and an application with very many answers is cut into slots, each
-    vendor's rows spread over its own slots and repeated over the others'.
+    partitions first. While they fit a broadcast they pick their rows out of the
+    history without a shuffle of it; else the rows meet them in one shuffle, on
+    whose partitioning they are picked and joined. Each vendor's rows are joined to
+    the applications from the left, so one that did not answer leaves NULLs; and an
+    application with very many answers is cut into slots, each vendor's rows spread
+    over its own slots and repeated over the others'.
     """
     day = F.lit(as_of).cast("date")
     tables = dict(zip(SOURCES, (bureau, fraud, aml)))
@@ -118,11 +106,11 @@ def assemble_application_request(
         [df.filter((F.col("batch_date") == day) & F.col(KEY).isNotNull()).select(KEY) for df in tables.values()],
     )
     day_keys = small_side(of_the_day.distinct().withColumnRenamed(KEY, "day_key"))
+    few = fits_broadcast(day_keys)
 
     def of_run(rows: DataFrame) -> DataFrame:
-        return rows.join(day_keys, splittable(F.col(KEY), F.col("day_key")), "left_semi")
+        return rows.join(day_keys, splittable(F.col(KEY), F.col("day_key")), "left_semi") if few else rows
 
-    picked = {source: of_run(side) for source, side in sides.items()}
     answers = reduce(
         DataFrame.unionByName,
         [
@@ -133,7 +121,7 @@ def assemble_application_request(
     # The counts say themselves which applications are of the run: nothing is sorted and joined for
     # them, unless a broadcast spares the shuffle of the history's keys.
     spine = (
-        (of_run(answers) if fits_broadcast(day_keys) else answers)
+        of_run(answers)
         .groupBy(KEY)
         .agg(*[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in SOURCES], F.bool_or("of_day").alias("of_day"))
         .filter("of_day")
@@ -146,13 +134,20 @@ def assemble_application_request(
     spread = spine
     for s in SOURCES:
         spread = spread.withColumn(SLOTS[s], F.explode(F.sequence(F.lit(0), _pieces(s, hot_rows) - 1)))
-    spread = spread.select(*_KEYS, *[f"rows_{s}" for s in SOURCES])
-
-    complete = []
-    for source, side in picked.items():
-        placed = _slotted(side, source, hot)
-        complete.append(placed.unionByName(_absent(spread, placed, source)))
-    joined = reduce(lambda left, right: left.join(right, _KEYS, "inner"), complete).drop(*SLOTS.values())
+    spread = spread.select(*_KEYS)
+
+    joined = spread
+    for source, side in sides.items():
+        placed = _slotted(of_run(side.filter(F.col(KEY).isNotNull())), source, hot)
+        if not few:
+            # Rows of other runs end here, in a join that can split a hot key of theirs.
+            placed = placed.join(spread, _KEYS, "left_semi")
+        joined = joined.join(placed, _KEYS, "left")
+    # A slot of a hot application may be empty though the vendor answered: nothing is joined there.
+    joined = joined.join(F.broadcast(hot), KEY, "left")
+    for s in SOURCES:
+        joined = joined.filter(F.col(f"has_{s}").isNotNull() | (F.coalesce(f"pieces_{s}", F.lit(1)) == 1))
+    joined = joined.drop(*SLOTS.values(), *[f"pieces_{s}" for s in SOURCES])
     # Some vendor row of this very combination must be of the run.
     joined = joined.filter(
         reduce(lambda a, b: a | b, [F.coalesce(F.col(f"{s}_batch") == day, F.lit(False)) for s in SOURCES])
