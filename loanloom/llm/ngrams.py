@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm.shared import opened
-from loanloom.llm.text import TOKEN_BYTES, Words, mix, span_hashes, steps
+from loanloom.llm.shared import opened, small_batches, stored
+from loanloom.llm.text import TOKEN_BYTES, Words, mix, released, span_hashes, steps
 from loanloom.session import scratch_path
 
 #: Counts up to this one are discounted by Good-Turing estimates.
@@ -421,7 +421,7 @@ def _score(
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             events = Events.of(row, word_answers, unigrams)
-            *_, pair = events.pairs(parts, hot)
+            pair = events.pairs(parts, hot)[-1]
             found = sorted(pair_answers.of(row["task"], row["chunk"], ["part", "a"]), key=lambda r: r["part"])
             count = np.concatenate([unpack(r["a"]) for r in found])[pair]
             known, backoff = _backoff(weight_answers.table(row["task"], row["chunk"], ["history", "weight"]))
@@ -477,7 +477,8 @@ def score_texts(docs: DataFrame, held_out: Column, parts: int | None = None) ->
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").alias("__text"))
-    chunks = _kept(slim.mapInArrow(lambda b: _read_texts(b, parts), CHUNKS), "text-chunks", "kind")
+    with small_batches(spark):
+        chunks = _kept(slim.mapInArrow(lambda b: released(_read_texts(b, parts)), CHUNKS), "text-chunks", "kind")
     texts = _of_kind(spark, chunks, CHUNKS, "t").select("task", "chunk", "docs", "a", "b")
 
     asked = _of_kind(spark, chunks, CHUNKS, "w").select("task", "chunk", "part", "a", "b", "c")
@@ -493,8 +494,9 @@ def score_texts(docs: DataFrame, held_out: Column, parts: int | None = None) ->
     unigrams = Unigrams.of((total or 0) + trained, types + (trained > 0), trained, numbers)
     hot = max(1000, unigrams.tokens // (4 * parts))
 
-    requests = texts.mapInArrow(lambda b: _ask_pairs(b, answers, unigrams, parts, hot), PAIRS)
-    bigrams = _kept(requests.groupBy("part").applyInArrow(lambda t: _count_pairs(t, unigrams), BIGRAMS), "bigrams", "kind")
+    requests = texts.mapInArrow(lambda b: released(_ask_pairs(b, answers, unigrams, parts, hot)), PAIRS)
+    with small_batches(spark):
+        bigrams = _kept(requests.groupBy("part").applyInArrow(lambda t: _count_pairs(t, unigrams), BIGRAMS), "bigrams", "kind")
     pair_answers = _by_task(_of_kind(spark, bigrams, BIGRAMS, "r").select("task", "chunk", "part", "a"), "bigram-answers")
     table = _of_kind(spark, bigrams, BIGRAMS, "b")
     numbers = table.agg(*[F.sum(F.get("numbers", F.lit(r))) for r in range(CUTOFF + 1)]).first()
@@ -504,7 +506,9 @@ def score_texts(docs: DataFrame, held_out: Column, parts: int | None = None) ->
     weights = table.groupBy("history").agg((lost / followed / (1 - F.sum("seen"))).alias("weight"))
     unseen = _of_kind(spark, bigrams, BIGRAMS, "u").select("task", "chunk", "history").distinct()
     backoff = _by_task(unseen.join(weights, "history"), "backoff-weights")
-    return texts.mapInArrow(
-        lambda b: _score(b, answers, pair_answers, backoff, unigrams, discount, parts, hot),
+    scored = texts.mapInArrow(
+        lambda b: released(_score(b, answers, pair_answers, backoff, unigrams, discount, parts, hot)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
+    with small_batches(spark):
+        return stored(scored, "scores")

@@ -5,6 +5,7 @@ All of them work on whole texts. A null text counts as empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,31 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(a, b - a)
 
 
+try:  # of glibc; other allocators keep less
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):
+    _trim = None
+
+
+def release() -> None:
+    """Give the memory that was freed back to the system.
+
+    A worker lives on after its task: unless told, the allocators hold what its largest step took.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def released(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows; between them and after the last one freed memory is given back."""
+    for row in rows:
+        yield row
+        del row
+        release()
+    release()
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and its n + 1 offsets into them."""
     column = pc.fill_null(column, "").cast(pa.large_string())
