@@ -8,6 +8,11 @@ from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+# Partitions that a shuffle begins with at least. A partition is read by one task, so few of them
+# grow with the input; many small ones are packed again by adaptive execution, 64 MB at most.
+FIRST_PARTITIONS = 400
+_FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 # Runtime SQL settings only: nothing here needs a new session. A setting the
 # cluster operator would size (shuffle partitions, memory) is left alone.
 RUNTIME_SETTINGS = {
@@ -28,6 +33,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(_FIRST, None) is None:  # else the operator's own, or set before
+        spark.conf.set(_FIRST, str(max(FIRST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
