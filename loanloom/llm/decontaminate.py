@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.shared import opened, stored
-from loanloom.llm.text import WORD_BYTES, Words, steps
+from loanloom.llm.text import WORD_BYTES, Words, released, steps
 from loanloom.session import scratch_path
 
 WINDOW = 10
@@ -357,7 +357,7 @@ def decontaminate(
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
     names = [prefix + name for name in RESULT]
     added = ", ".join(f"`{name}` {kind}" for name, kind in zip(names, RESULT.values(), strict=True))
-    return slim.mapInArrow(lambda b: _search(b, path, blocks, window, names), f"{kept}, {added}")
+    return slim.mapInArrow(lambda b: released(_search(b, path, blocks, window, names)), f"{kept}, {added}")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm.shared import stored
-from loanloom.llm.text import lower_ascii, steps, text_bytes
+from loanloom.llm.text import lower_ascii, released, steps, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -225,7 +225,7 @@ def identify(docs: DataFrame, network: ByteNetwork | None, keep: list[str], pref
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     slim = docs.select(*keep, F.col("text").alias("__text"), letter.alias("__letter"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
-    return slim.mapInArrow(lambda b: _predict(b, network, names), f"{kept}, `{names[0]}` string, `{names[1]}` double")
+    return slim.mapInArrow(lambda b: released(_predict(b, network, names)), f"{kept}, `{names[0]}` string, `{names[1]}` double")
 
 
 def fold(column: str, parts: int) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.components import components, joined_by, local_roots
 from loanloom.llm.shared import stored
-from loanloom.llm.text import WORD_BYTES, Words, hashed_windows, mix, steps
+from loanloom.llm.text import WORD_BYTES, Words, hashed_windows, mix, released, steps
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -153,7 +153,7 @@ def _signed(docs: DataFrame, keep: list[str], weighted: bool) -> DataFrame:
     """``keep``, ``__class`` (a digest of the text) and ``__bands`` of every document."""
     slim = docs.select(*keep, F.unhex(F.md5("text")).alias("__class"), F.col("text").alias("__text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
-    signed = slim.mapInArrow(lambda b: _sign(b, weighted, BANDS, ROWS), f"{kept}, __class binary, __bands array<long>")
+    signed = slim.mapInArrow(lambda b: released(_sign(b, weighted, BANDS, ROWS)), f"{kept}, __class binary, __bands array<long>")
     return stored(signed, "signatures")
 
 
@@ -175,7 +175,7 @@ def _links(docs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("__id"), F.unhex(F.md5("text")).alias("__class"), F.col("text").alias("__text"))
     chosen = F.broadcast(wanted) if count <= BROADCAST_NODES else wanted
     texts = texts.join(chosen, (F.col("__class") == F.col("class")) & F.col("__id").eqNullSafe(F.col("first_id")))
-    sets = stored(texts.select("node", "__text").mapInArrow(_sets, "node long, shingles array<long>"), "shingle-sets")
+    sets = stored(texts.select("node", "__text").mapInArrow(lambda b: released(_sets(b)), "node long, shingles array<long>"), "shingle-sets")
     if sets.count() != count:  # rows that repeat with their id
         sets = stored(sets.dropDuplicates(["node"]), "shingle-sets")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm.shared import attempt_name, folder, opened, stored
-from loanloom.llm.text import steps, text_bytes
+from loanloom.llm.text import released, steps, text_bytes
 
 MAGIC = b"LLTOKEF1"
 END_ID = 0
@@ -316,7 +316,7 @@ def write_ids(docs: DataFrame, tokenizer: str, width: int = 2, end_id: int = END
     spread = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"), F.rand(11))
     ordered = spread.sortWithinPartitions("doc_id", F.xxhash64("text"))
     written = ordered.mapInArrow(
-        lambda b: _write(b, root, tokenizer, width, end_id), "shard long, uri string, documents long, ids long"
+        lambda b: released(_write(b, root, tokenizer, width, end_id)), "shard long, uri string, documents long, ids long"
     )
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return stored(written, "token-manifest").withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
